@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,10 +17,7 @@ def _as_list(columns: str | list[str]) -> list[str]:
 
 
 def _sequenced(columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & F.col(c).isNotNull()
-    return condition
+    return _all(F.col(c).isNotNull() for c in columns)
 
 
 def unsequenced(df: DataFrame, sequence_by: str | list[str]) -> DataFrame:
@@ -78,7 +77,6 @@ def scd2(
     output = [c for c in df.columns if c not in except_cols]
     tracked = track_cols or [c for c in output if c not in keys and c not in sequence]
     others = [c for c in output if c not in keys and c not in sequence and c not in tie_cols]
-    start = F.col(sequence[0]) if len(sequence) == 1 else F.struct(*sequence)
     if delete_when is None:
         deleted = F.lit(False)
     else:
@@ -91,49 +89,75 @@ def scd2(
     order = list(dict.fromkeys([*sequence, *tie_cols, "_deleted", *others]))
     rows, hot = split_hot_keys(rows, keys, order, split_rows)
 
-    # A delete ends whatever was open, so deletes compare equal to each other.
-    state = F.struct("_deleted", F.when(~F.col("_deleted"), F.struct(*tracked)).alias("row"))
+    # Plain columns, not structs, go through the window, so the shuffle carries each value once.
     along = Window.partitionBy(*keys, "_split").orderBy(*order)
-    rows = rows.withColumns({START: start, "_state": state}).withColumn(
-        "_before", F.lag("_state").over(along)
+    compared = ["_deleted", *tracked]
+    rows = rows.withColumns({f"_b{i}": F.lag(c).over(along) for i, c in enumerate(compared)})
+    # The previous row's delete flag is null on the first row of a key or piece only.
+    first = F.col("_b0").isNull()
+    # A delete ends whatever was open, so deletes compare equal to each other.
+    equal = F.col("_deleted") | _all(
+        F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(tracked, start=1)
     )
+    repeats = ~first & (F.col("_b0") == F.col("_deleted")) & equal
     if hot:
-        pieces = _across_splits(rows, keys, order)
+        state = F.struct("_deleted", F.when(~F.col("_deleted"), F.struct(*tracked)).alias("row"))
+        pieces = _across_splits(rows, keys, order, sequence, state, first, repeats)
         rows = (
             rows.alias("r")
             .join(F.broadcast(pieces).alias("p"), same_keys("r", "p", [*keys, "_split"]), "left")
-            .select("r.*", "p._carried", "p._next_start")
-            .withColumn("_before", F.coalesce("_before", "_carried"))
+            .select("r.*", "p._carried", "p._next")
         )
-    kept = rows.where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col("_state")))
-    end = F.lead(START).over(along)
+        carried = F.col("_carried").isNotNull() & F.col("_carried").eqNullSafe(state)
+        repeats = F.when(first, carried).otherwise(repeats)
+    kept = rows.where(~repeats)
+    kept = kept.withColumns({f"_n{i}": F.lead(c).over(along) for i, c in enumerate(sequence)})
+    end = _position([F.col(f"_n{i}").alias(c) for i, c in enumerate(sequence)])
+    end = F.when(F.col("_n0").isNotNull(), end)
     if hot:
-        end = F.coalesce(end, F.col("_next_start"))
-    return kept.withColumn(END, end).where("not _deleted").select(*output, START, END)
+        end = F.coalesce(end, F.col("_next"))
+    return kept.where(~F.col("_deleted")).select(
+        *output, _position([F.col(c) for c in sequence]).alias(START), end.alias(END)
+    )
+
+
+def _all(conditions) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 
-def _across_splits(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def _position(columns: list[Column]) -> Column:
+    """The sequence value of a row: the column itself, or a struct of several."""
+    return columns[0] if len(columns) == 1 else F.struct(*columns)
+
+
+def _across_splits(
+    rows: DataFrame,
+    keys: list[str],
+    order: list[str],
+    sequence: list[str],
+    state: Column,
+    first: Column,
+    repeats: Column,
+) -> DataFrame:
     """Per piece of a hot key: the state before it, and where the next version after it starts."""
-    position = F.struct(*order)
-    changed = F.col("_before").isNotNull() & ~F.col("_before").eqNullSafe(F.col("_state"))
+    place = F.struct(*order)
+    start = _position([F.col(c) for c in sequence])
     pieces = rows.where("_split >= 0").groupBy(*keys, "_split").agg(
-        F.min_by("_state", position).alias("_first"),
-        F.max_by("_state", position).alias("_last"),
-        F.min(START).alias("_first_start"),
-        F.min(F.when(changed, F.col(START))).alias("_first_change"),
+        F.min_by(state, place).alias("_first"),
+        F.max_by(state, place).alias("_last"),
+        F.min(start).alias("_first_start"),
+        F.min(F.when(~first & ~repeats, start)).alias("_first_change"),
     )
     along = Window.partitionBy(*keys).orderBy("_split")
     after = along.rowsBetween(1, Window.unboundedFollowing)
     carried = F.lag("_last").over(along)
-    opens = carried.isNull() | ~carried.eqNullSafe(F.col("_first"))
+    opens = F.col("_carried").isNull() | ~F.col("_carried").eqNullSafe(F.col("_first"))
+    own_start = F.when(opens, F.col("_first_start")).otherwise(F.col("_first_change"))
     return (
-        pieces.withColumns({"_carried": carried, "_opens": opens})
-        .withColumn(
-            "_own_start",
-            F.when(F.col("_opens"), F.col("_first_start")).otherwise(F.col("_first_change")),
-        )
-        .withColumn("_next_start", F.first("_own_start", ignorenulls=True).over(after))
-        .select(*keys, "_split", "_carried", "_next_start")
+        pieces.withColumn("_carried", carried)
+        .withColumn("_own_start", own_start)
+        .withColumn("_next", F.first("_own_start", ignorenulls=True).over(after))
+        .select(*keys, "_split", "_carried", "_next")
     )
 
 

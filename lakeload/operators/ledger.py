@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.sources.files import FILE_KEYS, list_files
@@ -13,6 +13,8 @@ from lakeload.sources.files import FILE_KEYS, list_files
 BROADCAST_FILES = 200_000
 # Up to this many new files are read by name; beyond it the whole path is read and anti-joined.
 LISTED_FILES = 10_000
+# Tasks that share the rows of one file when the list of files is too long to broadcast.
+SALTS = 64
 
 
 def file_ledger(raw: DataFrame, keys: list[str] = FILE_KEYS) -> DataFrame:
@@ -25,31 +27,57 @@ def audit_ledger(audit: DataFrame, source_table: str, keys: list[str] = FILE_KEY
     return audit.where(F.col("source_table") == source_table).select(*keys).distinct()
 
 
-def _bounded(ledger: DataFrame, rows: int) -> DataFrame:
-    """Mark the ledger for broadcast when a count shows that it is small enough."""
-    return F.broadcast(ledger) if ledger.limit(rows + 1).count() <= rows else ledger
+def _bounded(files: DataFrame) -> bool:
+    """Whether a count shows that the list of files is small enough to broadcast."""
+    return files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
 
 
-def _missing_from(df: DataFrame, prefix: str, ledger: DataFrame, keys: list[str]) -> DataFrame:
-    seen = ledger.select(*(F.col(k).alias(f"_seen_{k}") for k in keys))
-    same = [F.col(f"{prefix}{k}").eqNullSafe(F.col(f"_seen_{k}")) for k in keys]
-    return df.join(_bounded(seen, BROADCAST_FILES), reduce(lambda a, b: a & b, same), "left_anti")
+def _same_file(prefix: str, keys: list[str]) -> Column:
+    return reduce(
+        lambda a, b: a & b, (F.col(f"{prefix}{k}").eqNullSafe(F.col(f"_seen_{k}")) for k in keys)
+    )
+
+
+def _renamed(files: DataFrame, keys: list[str]) -> DataFrame:
+    return files.select(*(F.col(k).alias(f"_seen_{k}") for k in keys)).distinct()
+
+
+def _match_files(df: DataFrame, files: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join of rows with files: a broadcast when bounded.
+
+    Otherwise the rows are shuffled with a salt from their input split, and each file is copied to
+    every salt, so the rows of one large file spread over many tasks.
+    """
+    same = _same_file("_metadata.", keys)
+    if _bounded(files):
+        return df.join(F.broadcast(files), same, how)
+    salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
+    copies = files.withColumn("_file_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, same & (F.col("_salt") == F.col("_file_salt")), how).drop("_salt")
 
 
 def skip_loaded(df: DataFrame, ledger: DataFrame, keys: list[str] = FILE_KEYS) -> DataFrame:
     """Rows of files not in the ledger; ``df`` may be a batch or a stream.
 
     The default key is path, name, size and modification time; ``["file_name",
-    "file_modification_time"]`` is the looser key for files that move.
+    "file_modification_time"]`` is the looser key for files that move. Against a long ledger, a
+    batch first finds its own new files, which are few as a rule, and keeps their rows.
     """
-    return _missing_from(df, "_metadata.", ledger.select(*keys).distinct(), keys)
+    seen = _renamed(ledger, keys)
+    if df.isStreaming or _bounded(seen):
+        return _match_files(df, seen, keys, "left_anti")
+    present = df.select(*(F.col(f"_metadata.{k}").alias(k) for k in keys)).distinct()
+    fresh = present.join(seen, _same_file("", keys), "left_anti")
+    return _match_files(df, _renamed(fresh, keys), keys, "left_semi")
 
 
 def new_files(
     spark: SparkSession, path: str | list[str], ledger: DataFrame, keys: list[str] = FILE_KEYS
 ) -> DataFrame:
     """Listed files that the ledger does not hold; no file is opened."""
-    return _missing_from(list_files(spark, path), "", ledger.select(*keys).distinct(), keys)
+    return list_files(spark, path).join(
+        _renamed(ledger, keys), _same_file("", keys), "left_anti"
+    )
 
 
 def new_paths(

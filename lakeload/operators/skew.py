@@ -25,11 +25,11 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
 def split_hot_keys(
     df: DataFrame, keys: list[str], order: list[str], split_rows: int | None = SPLIT_ROWS
 ) -> tuple[DataFrame, bool]:
-    """Add ``_split``, a piece number that grows along ``order`` within each key.
+    """Add ``_split``, a piece number that grows along ``order`` within each hot key.
 
     Keys of normal size stay whole in piece -1. One narrow counting job (keys only, combined
     map-side) decides whether any key is hot; the flag says so. ``split_rows=None`` skips it.
-    In the hot case exact copies are dropped first, so copies of one row cannot fill a piece.
+    Exact copies among the rows of hot keys are dropped, so copies of one row cannot fill a piece.
     """
     whole = df.withColumn("_split", F.lit(-1).cast("long"))
     if split_rows is None:
@@ -40,15 +40,16 @@ def split_hot_keys(
     if (largest or 0) <= limit:
         return whole, False
 
-    df = df.distinct()
-    hot = counts.where(F.col("_rows") > limit).select(*keys)
-    point = F.struct(*order)
-    # Every limit-th row or so of a hot key, chosen by hash, becomes a cut point. The choice only
+    hot = F.broadcast(counts.where(F.col("_rows") > limit).select(*keys))
+    is_hot = same_keys("r", "h", keys)
+    hot_rows = df.alias("r").join(hot.alias("h"), is_hot, "left_semi")
+    cold_rows = df.alias("r").join(hot.alias("h"), is_hot, "left_anti")
+
+    # About every limit-th row of a hot key, chosen by hash, becomes a cut point. The choice only
     # places the cuts: all rows are kept.
+    point = F.struct(*order)
     cuts = (
-        df.alias("r")
-        .join(F.broadcast(hot).alias("h"), same_keys("r", "h", keys), "left_semi")
-        .where(F.pmod(F.xxhash64(*order), F.lit(limit)) == 0)
+        hot_rows.where(F.pmod(F.xxhash64(*order), F.lit(limit)) == 0)
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_set(point)).alias("_cuts"))
     )
@@ -61,9 +62,12 @@ def split_hot_keys(
     cuts = cuts.select(*keys, blocks.alias("_blocks"), width.cast("long").alias("_width"))
     block = F.size(F.filter("_blocks", lambda b: b[0] <= point))
     inside = F.size(F.filter(F.get("_blocks", block - 1), lambda c: c <= point))
-    split = F.when(block > 0, (block - 1) * F.col("_width") + inside).otherwise(0)
-    rows = df.alias("r").join(F.broadcast(cuts).alias("c"), same_keys("r", "c", keys), "left")
-    return rows.select(
-        "r.*",
-        F.when(F.col("_width").isNull(), F.lit(-1)).otherwise(split).cast("long").alias("_split"),
-    ), True
+    # A hot key without cuts (few distinct rows, most of them copies) is the single piece 0.
+    uncut = F.col("_width").isNull() | (block == 0)
+    split = F.when(uncut, F.lit(0)).otherwise((block - 1) * F.col("_width") + inside)
+    pieces = (
+        hot_rows.distinct().alias("r")
+        .join(F.broadcast(cuts).alias("c"), same_keys("r", "c", keys), "left")
+        .select("r.*", split.cast("long").alias("_split"))
+    )
+    return cold_rows.withColumn("_split", F.lit(-1).cast("long")).unionByName(pieces), True

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from lakeload.functions.dates import slice_date_from
@@ -13,7 +12,7 @@ FILE_KEYS = ["file_path", "file_name", "file_size", "file_modification_time"]
 
 
 def list_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
-    """One row per file: path, name, size and modification time."""
+    """One row per file that is not empty: path, name, size and modification time."""
     reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -27,8 +26,14 @@ def ready_slices(
     fmt: str = "%Y%m%d",
     from_directory: bool = False,
 ) -> DataFrame:
-    """Slice dates whose flag file has arrived; semi-join a load on ``_slice_date``."""
-    name = F.col("file_path" if from_directory else "file_name")
-    files = list_files(spark, directory, pattern)
+    """Slice dates whose flag file has arrived; semi-join a load on ``_slice_date``.
+
+    Flag files are empty, and Spark plans no task for an empty file, so their names come from the
+    listing itself: one name per finished slice.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    paths = [(path,) for path in reader.load(directory).inputFiles()]
+    files = spark.createDataFrame(paths, "path string")
+    name = F.col("path") if from_directory else F.substring_index("path", "/", -1)
     dates = files.select(slice_date_from(name, fmt, from_directory).alias("_slice_date"))
     return dates.where(F.col("_slice_date").isNotNull()).distinct()

@@ -1,0 +1,71 @@
+import datetime as dt
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from lakeload.functions import (
+    Timeslice,
+    date_pattern,
+    hash_value,
+    row_hash,
+    safe_ratio,
+    slice_date_from,
+)
+from lakeload.sources import landing_glob
+
+
+def test_date_pattern():
+    assert date_pattern("%Y%m%d") == (r"\d{4}\d{2}\d{2}", "yyyyMMdd")
+    assert date_pattern("%Y-%m-%dT%H")[1] == "yyyy-MM-dd'T'HH"
+    with pytest.raises(ValueError):
+        date_pattern("%Y%j")
+
+
+@pytest.mark.parametrize(
+    "name, directory, expected",
+    [
+        ("customer_details_1-20230102.csv", False, dt.datetime(2023, 1, 2)),
+        ("balance_20230110.csv", False, dt.datetime(2023, 1, 10)),
+        ("t-20230102235959.csv", False, dt.datetime(2023, 1, 2)),
+        ("t-20231399.csv", False, None),
+        ("nothing.csv", False, None),
+        ("file:/landing/t/20230102/t.csv", True, dt.datetime(2023, 1, 2)),
+        ("file:/landing/day=20230102/part-0-12345678-0.csv", True, dt.datetime(2023, 1, 2)),
+        ("file:/landing/20230101x/t.csv", True, None),
+    ],
+)
+def test_slice_date(spark, name, directory, expected):
+    df = spark.createDataFrame([(name,)], "name string")
+    got = df.select(slice_date_from(F.col("name"), "%Y%m%d", directory)).first()[0]
+    assert got == expected
+
+
+@pytest.mark.parametrize(
+    "text, glob",
+    [("2023-01-01", "20230101"), ("2023-1-*", "202301*"), ("2023-*-*", "2023*"), ("*", "*")],
+)
+def test_timeslice(text, glob):
+    assert Timeslice.parse(text).to_glob("%Y%m%d") == glob
+
+
+def test_timeslice_rejects_text():
+    with pytest.raises(ValueError):
+        Timeslice.parse("January")
+
+
+def test_landing_glob():
+    template = "/l/{{table}}/{{path_date_format}}/{{table}}-{{filename_date_format}}*.csv"
+    assert landing_glob(template, "a", "2023-01-02", "%Y/%m", "%Y%m%d") == "/l/a/2023/01/a-20230102*.csv"
+
+
+def test_hashes(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", "", 1), (None, "a", 1)], "x string, y string, z int")
+    assert rows(df.select(hash_value(F.col("z")).alias("h")))[0][0] == hashlib.sha224(b"1").hexdigest()
+    assert df.select(row_hash(["x", "y", "z"])).distinct().count() == 3
+
+
+def test_safe_ratio(spark):
+    df = spark.createDataFrame([(1, 4), (0, 0), (1, None)], "a long, b long")
+    assert [r[0] for r in df.select(safe_ratio(F.col("a"), F.col("b"))).collect()] == [0.25, 0.0, 0.0]

@@ -1,0 +1,110 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql.types import IntegerType, LongType, StructType
+
+from conftest import rows
+from control_files import DETAILS_DDL, write_all, write_file
+from lakeload.operators.ledger import new_files
+from lakeload.sources import (
+    AUDIT_SCHEMA,
+    CONTROL_CSV,
+    DELIMITED_CSV,
+    FILE_KEYS,
+    infer_schema,
+    landing_glob,
+    list_files,
+    load_schema,
+    merge_hints,
+    read_landing,
+    ready_slices,
+    save_schema,
+)
+
+
+@pytest.mark.parametrize("name", ["schema.yaml", "schema.json"])
+def test_schema_file(spark, tmp_path, name):
+    schema = StructType.fromDDL(
+        "a string, b int, c bigint, d double, e boolean, f timestamp, g decimal(18,6), h struct<x:int>"
+    )
+    path = str(tmp_path / name)
+    save_schema(schema, path)
+    assert load_schema(path) == schema
+    assert load_schema(path, "_corrupt_record").fieldNames()[-1] == "_corrupt_record"
+
+
+def test_audit_schema_is_flat_but_thresholds(spark):
+    assert len(AUDIT_SCHEMA) == 19
+    assert AUDIT_SCHEMA["warning_thresholds"].dataType.fieldNames() == [
+        "invalid_ratio", "invalid_rows", "max_rows", "min_rows"
+    ]
+
+
+def test_infer_and_hints(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id|name|amount\n1|x|1.5\n2|y|2\n")
+    inferred = infer_schema(spark, str(tmp_path), options=DELIMITED_CSV)
+    assert [f.dataType.simpleString() for f in inferred] == ["int", "string", "double"]
+    merged = merge_hints(inferred, "amount decimal(10,4), late string")
+    assert merged.simpleString() == "struct<id:int,name:string,amount:decimal(10,4),late:string>"
+    assert inferred["id"].dataType == IntegerType()
+    assert merge_hints(inferred, "id long")["id"].dataType == LongType()
+
+
+def test_control_csv_keeps_text_of_bad_lines(spark, tmp_path):
+    write_file(tmp_path, "customer_details_1", "20230101")
+    df = read_landing(spark, str(tmp_path / "*" / "*"), DETAILS_DDL, options=CONTROL_CSV)
+    bad = {r.flag: r._corrupt_record for r in df.collect() if r._corrupt_record}
+    assert bad == {
+        "H": '"H",10,20230101132154,batch1', "F": '"F",customer_details_1,20230101133443'
+    }
+    good = next(r for r in df.collect() if r.id == 3)
+    assert (good.first_name, good.last_name, good.job_title, good.amount) == ("Zoë", 'O"Neil 3', None, 300.5)
+    assert df.count() == 12
+
+
+def test_unknown_charset_is_refused(spark, tmp_path):
+    spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+    try:
+        with pytest.raises(ValueError, match="windows-1252|WINDOWS-1252"):
+            read_landing(spark, str(tmp_path), "a string", options=CONTROL_CSV)
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
+def test_json_permissive(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"id": 1}) + "\n{broken\n")
+    df = read_landing(spark, str(tmp_path), "id int", "json")
+    assert rows(df) == [(1, None), (None, "{broken")]
+
+
+def test_timeslice_lists_only_its_files(spark, tmp_path):
+    template = write_all(tmp_path, "customer_details_1")
+    path = landing_glob(template, "customer_details_1", "2023-01-02")
+    df = read_landing(spark, path, DETAILS_DDL, options=CONTROL_CSV)
+    assert [f.rsplit("/", 1)[1] for f in df.inputFiles()] == ["customer_details_1-20230102.csv"]
+    assert df.count() == 14
+
+
+def test_list_files_reads_no_content(spark, tmp_path):
+    path = write_file(tmp_path, "customer_details_1", "20230101")
+    files = list_files(spark, str(path.parent))
+    assert files.columns == FILE_KEYS
+    assert rows(files, "file_name", "file_size") == [(path.name, path.stat().st_size)]
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_new_files(spark, tmp_path):
+    for day in ("20230101", "20230102"):
+        write_file(tmp_path, "customer_details_1", day)
+    path = str(tmp_path / "*" / "*")
+    ledger = list_files(spark, path).where("file_name like '%20230101%'")
+    assert rows(new_files(spark, path, ledger), "file_name") == [("customer_details_1-20230102.csv",)]
+
+
+def test_ready_slices(spark, tmp_path):
+    (tmp_path / "customerdetailscomplete-20230102.flg").write_text("")
+    (tmp_path / "other.txt").write_text("")
+    assert rows(ready_slices(spark, str(tmp_path))) == [(dt.datetime(2023, 1, 2),)]
+    assert rows(ready_slices(spark, str(tmp_path), "*.none")) == []

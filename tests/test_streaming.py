@@ -1,0 +1,92 @@
+from pyspark.sql import functions as F
+
+from conftest import rows
+from lakeload.operators.cdc import scd2
+from lakeload.operators.control import header_footer, header_footer_stream
+from lakeload.operators.ledger import skip_loaded
+from lakeload.operators.stage import stage, valid_rows
+from lakeload.plans.queries import raw_control
+from lakeload.streaming.history import read_history, stream_scd2
+
+SF = "/root/testdata/sf0.001"
+KEYS, SEQUENCE = ["user_id"], ["ts", "event_id"]
+HOW = {"except_cols": ("ts", "event_id"), "delete_when": "event_type = 'error'"}
+
+
+def test_history_over_several_runs(spark, store):
+    """Late rows in later runs; every run leaves the history the batch form gives."""
+    events = spark.read.parquet(f"{SF}/events.parquet").select("user_id", "ts", "event_id", "event_type")
+    parts = [events.where(F.pmod(F.hash("event_id"), F.lit(3)) == i) for i in range(3)]
+    for i, part in enumerate(parts):
+        part.write.mode("append").parquet(store.path("changes"))
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(store.path("changes"))
+        stream_scd2(store, stream, "log", "target", store.path("cp"), KEYS, SEQUENCE, buckets=4, split_rows=50, **HOW)
+        seen = parts[0] if i == 0 else parts[0].unionByName(parts[1]) if i == 1 else events
+        assert rows(read_history(store, "target")) == rows(scd2(seen, KEYS, SEQUENCE, **HOW))
+
+
+def test_replayed_history_batch(spark, store, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet").select("user_id", "ts", "event_id", "event_type")
+    events.write.parquet(store.path("changes"))
+    wanted = rows(scd2(events, KEYS, SEQUENCE, **HOW))
+    for _ in range(2):
+        stream = spark.readStream.schema(events.schema).parquet(store.path("changes"))
+        stream_scd2(store, stream, "log", "target", store.path("cp"), KEYS, SEQUENCE, buckets=4, **HOW)
+        assert rows(read_history(store, "target")) == wanted
+        for commit in (tmp_path / "store" / "cp" / "commits").glob("*0*"):
+            commit.unlink()
+
+
+def test_untouched_buckets_are_not_rewritten(spark, store):
+    events = spark.read.parquet(f"{SF}/events.parquet").select("user_id", "ts", "event_id", "event_type")
+    users = [r[0] for r in events.select("user_id").distinct().orderBy("user_id").limit(1).collect()]
+    stamps = []
+    for part in (events, events.where(F.col("user_id").isin(users))):
+        part.write.mode("append").parquet(store.path("changes"))
+        stream = spark.readStream.schema(events.schema).parquet(store.path("changes"))
+        stream_scd2(store, stream, "log", "target", store.path("cp"), KEYS, SEQUENCE, buckets=4, **HOW)
+        target = spark.read.parquet(store.path("target"))
+        stamps.append({tuple(r) for r in target.select("_bucket", "_metadata.file_name").distinct().collect()})
+    kept = stamps[0] & stamps[1]
+    assert {b for b, _ in stamps[0]} - {b for b, _ in kept} == {b for b, _ in stamps[1] - kept}
+    assert len({b for b, _ in stamps[1] - kept}) == 1
+
+
+def test_header_footer_stream_equals_batch(spark, store):
+    store.append("raw", raw_control(spark, SF))
+    raw = store.read("raw")
+    wanted = rows(header_footer(raw))
+    for i, watermark in enumerate([None, "2 days"]):
+        stream = header_footer_stream(store.read_stream("raw", raw.schema), watermark)
+        store.append_stream(f"hf{i}", stream, store.path(f"cp{i}"))
+        assert rows(store.read(f"hf{i}")) == wanted
+
+
+def test_footer_in_a_later_run(spark, store):
+    """The header waits in the join state until its footer is appended."""
+    raw = raw_control(spark, SF).where("flag in ('H', 'F')")
+    found = []
+    for flag in ("H", "F"):
+        store.append("raw", raw.where(F.col("flag") == flag))
+        stream = header_footer_stream(store.read_stream("raw", raw.schema))
+        store.append_stream("hf", stream, store.path("cp"))
+        found.append(store.read("hf").count() if store.exists("hf") else 0)
+    assert found == [0, raw.where("flag = 'F'").count()]
+
+
+def test_operators_take_streams(spark, tmp_path):
+    """The same staging, filter and ledger join run over a stream."""
+    (tmp_path / "t-20230101.csv").write_text("1,a\nx,b\n")
+    (tmp_path / "t-20230102.csv").write_text("2,c\n")
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    ddl = "id int, name string, _corrupt_record string"
+    batch = stage(spark.read.schema(ddl).options(**how).csv(str(tmp_path)), 1, load_date=F.lit(None).cast("timestamp"))
+    stream = stage(spark.readStream.schema(ddl).options(**how).csv(str(tmp_path)), 1, load_date=F.lit(None).cast("timestamp"))
+    ledger = batch.select("_metadata.*").where("file_name like '%20230102%'")
+    query = (
+        valid_rows(skip_loaded(stream, ledger)).writeStream.format("memory").queryName("taken")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert rows(spark.table("taken"), "id") == [(1,)]
+    assert spark.table("taken").columns == batch.columns
