@@ -66,7 +66,8 @@ def scd2(
     Versions follow ``sequence_by``, not arrival. Consecutive rows equal in ``track_cols`` (by
     default all columns but keys, sequence and ``except_cols``) are one version. Rows where
     ``delete_when`` holds close the open version and emit none. Ties in the sequence are ordered
-    by ``tie_cols`` and then by all other columns, so the result never depends on input order.
+    by ``tie_cols``, then by a hash of the other columns and the columns themselves, so the result
+    never depends on input order.
     Rows without a sequence value are left out; see ``unsequenced``.
 
     Normal keys cost one shuffle and one sort. A key above ``split_rows`` is cut into pieces along
@@ -83,42 +84,75 @@ def scd2(
         deleted = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
     deleted = F.coalesce(deleted, F.lit(False))
 
-    rows = df.where(_sequenced(sequence)).withColumn("_deleted", deleted)
-    needed = [*keys, *sequence, *tie_cols, "_deleted", *others, *tracked]
-    rows = rows.select(*dict.fromkeys(needed))
-    order = list(dict.fromkeys([*sequence, *tie_cols, "_deleted", *others]))
-    rows, hot = split_hot_keys(rows, keys, order, split_rows)
-
-    # Plain columns, not structs, go through the window, so the shuffle carries each value once.
-    along = Window.partitionBy(*keys, "_split").orderBy(*order)
+    # A short hash decides ties before whole rows do, so cut points need not hold whole rows.
+    tie = F.xxhash64(*others) if others else F.lit(0).cast("long")
+    rows = df.where(_sequenced(sequence)).withColumns({"_deleted": deleted, "_tie": tie})
+    place = list(dict.fromkeys([*sequence, *tie_cols, "_deleted", "_tie"]))
+    order = [*place, *others]
+    rows = rows.select(*dict.fromkeys([*keys, *order, *tracked]))
+    normal, hot = split_hot_keys(rows, keys, place, split_rows)
+    versions = _versions(normal, keys, order, sequence, tracked).select(*output, START, END)
+    if hot is not None:
+        # Hot keys are taken piece by piece; each piece learns what comes before and after it.
+        pieces = F.broadcast(_across_pieces(hot, keys, order, sequence, tracked))
+        pieced = _versions(hot, [*keys, "_split"], order, sequence, tracked, pieces)
+        versions = versions.unionByName(pieced.select(*output, START, END))
+    return versions
+
+
+def _with_previous(
+    rows: DataFrame, group: list[str], order: list[str], tracked: list[str]
+) -> tuple[DataFrame, Column, Column]:
+    """Rows with the tracked columns of the row before, and conditions over them: is the row the
+    first of its group, and does it repeat the state of the row before.
+
+    Plain columns, not structs, go through the window, so the shuffle carries each value once.
+    """
+    along = Window.partitionBy(*group).orderBy(*order)
     compared = ["_deleted", *tracked]
     rows = rows.withColumns({f"_b{i}": F.lag(c).over(along) for i, c in enumerate(compared)})
-    # The previous row's delete flag is null on the first row of a key or piece only.
+    # The delete flag is never null, so its lag is null on the first row only.
     first = F.col("_b0").isNull()
     # A delete ends whatever was open, so deletes compare equal to each other.
     equal = F.col("_deleted") | _all(
         F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(tracked, start=1)
     )
-    repeats = ~first & (F.col("_b0") == F.col("_deleted")) & equal
-    if hot:
-        state = F.struct("_deleted", F.when(~F.col("_deleted"), F.struct(*tracked)).alias("row"))
-        pieces = _across_splits(rows, keys, order, sequence, state, first, repeats)
-        rows = (
-            rows.alias("r")
-            .join(F.broadcast(pieces).alias("p"), same_keys("r", "p", [*keys, "_split"]), "left")
-            .select("r.*", "p._carried", "p._next")
-        )
-        carried = F.col("_carried").isNotNull() & F.col("_carried").eqNullSafe(state)
+    return rows, first, ~first & (F.col("_b0") == F.col("_deleted")) & equal
+
+
+def _state(tracked: list[str]) -> Column:
+    return F.struct("_deleted", F.when(~F.col("_deleted"), F.struct(*tracked)).alias("row"))
+
+
+def _digest(state: Column) -> Column:
+    """What pieces hand on instead of whole rows, so that their broadcast stays small."""
+    return F.sha2(F.to_json(state, {"ignoreNullFields": "false"}), 256)
+
+
+def _versions(
+    rows: DataFrame,
+    group: list[str],
+    order: list[str],
+    sequence: list[str],
+    tracked: list[str],
+    pieces: DataFrame | None = None,
+) -> DataFrame:
+    """The versions within each group, in one shuffle and one sort."""
+    rows, first, repeats = _with_previous(rows, group, order, tracked)
+    if pieces is not None:
+        rows = rows.alias("r").join(pieces.alias("p"), same_keys("r", "p", group), "left")
+        rows = rows.select("r.*", "p._carried", "p._next")
+        carried = F.col("_carried").eqNullSafe(_digest(_state(tracked)))
         repeats = F.when(first, carried).otherwise(repeats)
+    along = Window.partitionBy(*group).orderBy(*order)
     kept = rows.where(~repeats)
     kept = kept.withColumns({f"_n{i}": F.lead(c).over(along) for i, c in enumerate(sequence)})
     end = _position([F.col(f"_n{i}").alias(c) for i, c in enumerate(sequence)])
     end = F.when(F.col("_n0").isNotNull(), end)
-    if hot:
+    if pieces is not None:
         end = F.coalesce(end, F.col("_next"))
-    return kept.where(~F.col("_deleted")).select(
-        *output, _position([F.col(c) for c in sequence]).alias(START), end.alias(END)
-    )
+    start = _position([F.col(c) for c in sequence])
+    return kept.where(~F.col("_deleted")).withColumns({START: start, END: end})
 
 
 def _all(conditions) -> Column:
@@ -130,31 +164,26 @@ def _position(columns: list[Column]) -> Column:
     return columns[0] if len(columns) == 1 else F.struct(*columns)
 
 
-def _across_splits(
-    rows: DataFrame,
-    keys: list[str],
-    order: list[str],
-    sequence: list[str],
-    state: Column,
-    first: Column,
-    repeats: Column,
+def _across_pieces(
+    rows: DataFrame, keys: list[str], order: list[str], sequence: list[str], tracked: list[str]
 ) -> DataFrame:
     """Per piece of a hot key: the state before it, and where the next version after it starts."""
+    rows, first, repeats = _with_previous(rows, [*keys, "_split"], order, tracked)
     place = F.struct(*order)
     start = _position([F.col(c) for c in sequence])
-    pieces = rows.where("_split >= 0").groupBy(*keys, "_split").agg(
-        F.min_by(state, place).alias("_first"),
-        F.max_by(state, place).alias("_last"),
+    pieces = rows.groupBy(*keys, "_split").agg(
+        F.min_by(_state(tracked), place).alias("_first"),
+        F.max_by(_state(tracked), place).alias("_last"),
         F.min(start).alias("_first_start"),
         F.min(F.when(~first & ~repeats, start)).alias("_first_change"),
     )
+    pieces = pieces.withColumns({c: _digest(F.col(c)) for c in ("_first", "_last")})
     along = Window.partitionBy(*keys).orderBy("_split")
     after = along.rowsBetween(1, Window.unboundedFollowing)
-    carried = F.lag("_last").over(along)
-    opens = F.col("_carried").isNull() | ~F.col("_carried").eqNullSafe(F.col("_first"))
-    own_start = F.when(opens, F.col("_first_start")).otherwise(F.col("_first_change"))
+    repeated = F.col("_carried").eqNullSafe(F.col("_first"))
+    own_start = F.when(repeated, F.col("_first_change")).otherwise(F.col("_first_start"))
     return (
-        pieces.withColumn("_carried", carried)
+        pieces.withColumn("_carried", F.lag("_last").over(along))
         .withColumn("_own_start", own_start)
         .withColumn("_next", F.first("_own_start", ignorenulls=True).over(after))
         .select(*keys, "_split", "_carried", "_next")

@@ -33,7 +33,8 @@ from lakeload.plans.jobs import (
     load_history,
     load_raw,
 )
-from lakeload.sinks.store import Store, scratch_dir
+from lakeload.sinks.scratch import scratch_dir
+from lakeload.sinks.store import Store
 from lakeload.sources.files import ready_slices
 from lakeload.sources.landing import DELIMITED_CSV, landing_glob, read_landing
 from lakeload.sources.schema import infer_schema, merge_hints

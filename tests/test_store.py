@@ -7,7 +7,8 @@ from conftest import rows
 from control_files import DETAILS_DDL, write_all
 from lakeload.plans.jobs import load_base, load_history, load_raw
 from lakeload.sinks.layout import cluster
-from lakeload.sinks.store import Store, scratch_dir
+from lakeload.sinks.scratch import scratch_dir
+from lakeload.sinks.store import Store
 from lakeload.sources import CONTROL_CSV, HEADER_FOOTER_SCHEMA, landing_glob
 
 
