@@ -8,31 +8,34 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Strftime part -> (regular expression, Spark datetime pattern).
+# Strftime part -> (digits, value when the format has no such part).
 _DATE_PARTS = {
-    "%Y": (r"\d{4}", "yyyy"),
-    "%m": (r"\d{2}", "MM"),
-    "%d": (r"\d{2}", "dd"),
-    "%H": (r"\d{2}", "HH"),
-    "%M": (r"\d{2}", "mm"),
-    "%S": (r"\d{2}", "ss"),
+    "%Y": (4, ""),
+    "%m": (2, "01"),
+    "%d": (2, "01"),
+    "%H": (2, "00"),
+    "%M": (2, "00"),
+    "%S": (2, "00"),
 }
 
 
-def date_pattern(fmt: str) -> tuple[str, str]:
-    """Turn a strftime format such as ``%Y%m%d`` into (regex, Spark pattern)."""
-    regex, pattern = "", ""
+def date_parts(fmt: str) -> tuple[str, dict[str, int]]:
+    """The regular expression of a strftime format such as ``%Y%m%d``, and where its parts start."""
+    regex, starts, length = "", {}, 0
     for token in re.findall(r"%.|[^%]+", fmt):
-        if token.startswith("%"):
-            if token not in _DATE_PARTS:
-                raise ValueError(f"unsupported date part {token!r} in {fmt!r}")
-            part_regex, part_pattern = _DATE_PARTS[token]
-            regex += part_regex
-            pattern += part_pattern
-        else:
+        if not token.startswith("%"):
             regex += re.escape(token)
-            pattern += "".join(f"'{c}'" if c.isalpha() else c for c in token)
-    return regex, pattern
+            length += len(token)
+        elif token in _DATE_PARTS:
+            digits = _DATE_PARTS[token][0]
+            regex += rf"\d{{{digits}}}"
+            starts[token] = length + 1
+            length += digits
+        else:
+            raise ValueError(f"unsupported date part {token!r} in {fmt!r}")
+    if "%Y" not in starts:
+        raise ValueError(f"the date format needs %Y, got {fmt!r}")
+    return regex, starts
 
 
 def slice_date_from(text: Column, fmt: str = "%Y%m%d", directory: bool = False) -> Column:
@@ -40,21 +43,28 @@ def slice_date_from(text: Column, fmt: str = "%Y%m%d", directory: bool = False)
 
     Text without a date gives null, so a stray file never fails a load.
     """
-    regex, pattern = date_pattern(fmt)
+    regex, starts = date_parts(fmt)
     if directory:
-        regex = rf".*/(?:[^/=]*=)?({regex})/"
+        regex = rf"^.*/(?:[^/=]*=)?({regex})/"
     else:
-        regex = rf".*(?<!\d)({regex})"
-    return F.try_to_timestamp(F.regexp_extract(text, regex, 1), F.lit(pattern))
+        regex = rf"^.*(?<!\d)({regex})"
+    found = F.regexp_extract(text, regex, 1)
+    year, month, day, hour, minute, second = (
+        F.substring(found, starts[part], digits) if part in starts else F.lit(default)
+        for part, (digits, default) in _DATE_PARTS.items()
+    )
+    # Casting ISO text is several times faster than parsing with a pattern.
+    date, time = F.concat_ws("-", year, month, day), F.concat_ws(":", hour, minute, second)
+    return F.concat_ws(" ", date, time).try_cast("timestamp")
 
 
 @dataclass(frozen=True)
 class Timeslice:
     """A day, or a wildcard over days: ``2023-01-01``, ``2023-01-*``, ``2023-*-*``, ``*``."""
 
-    year: str = "*"
-    month: str = "*"
-    day: str = "*"
+    year: str | int = "*"
+    month: str | int = "*"
+    day: str | int = "*"
 
     @classmethod
     def parse(cls, text: str) -> Timeslice:
@@ -63,10 +73,11 @@ class Timeslice:
         match = re.fullmatch(r"(\d{4}|\*)-(\d{1,2}|\*)-(\d{1,2}|\*)", text)
         if not match:
             raise ValueError(f"time slice must be yyyy-mm-dd with * allowed, got {text!r}")
-        return cls(*(p if p == "*" else p.zfill(2) for p in match.groups()))
+        return cls(*match.groups())
 
     def to_glob(self, fmt: str = "%Y%m%d") -> str:
         """Glob for one path segment, so only matching directories and files are listed."""
-        parts = {"%Y": self.year, "%m": self.month, "%d": self.day}
+        chosen = {"%Y": self.year, "%m": self.month, "%d": self.day}
+        parts = {k: v if v == "*" else str(v).zfill(2) for k, v in chosen.items()}
         glob = re.sub(r"%.", lambda m: parts.get(m.group(), "*"), fmt)
         return re.sub(r"\*+", "*", glob)

@@ -29,6 +29,19 @@ def thresholds_struct(thresholds: dict | None) -> Column:
     ))
 
 
+class ThresholdBreach(Exception):
+    """A load went over one of its exception thresholds."""
+
+
+def enforce_thresholds(audited: DataFrame, shown: int = 20) -> None:
+    """Raise when any file has the status ``exception``. Call it after the audit is stored."""
+    broken = evaluate_thresholds(audited).where("status = 'exception'")
+    count = broken.count()
+    if count:
+        names = [r.file_name for r in broken.select("file_name").limit(shown).collect()]
+        raise ThresholdBreach(f"{count} files over their exception thresholds, such as {names}")
+
+
 def audit(
     raw: DataFrame,
     process_id: int,

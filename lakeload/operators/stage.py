@@ -62,6 +62,16 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid_rows(df), quarantine(df)
 
 
+def inserted_rows(changes: DataFrame) -> DataFrame:
+    """The inserts of a table's change feed, without the feed's own columns.
+
+    An append-only table read as a stream gives the same rows without a feed.
+    """
+    return changes.where("_change_type = 'insert'").drop(
+        "_change_type", "_commit_version", "_commit_timestamp"
+    )
+
+
 def retain(
     df: DataFrame, days: int, as_of: dt.datetime | str | None = None, column: str = "_slice_date"
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from lakeload.operators.audit import audit
+from lakeload.operators.audit import audit, enforce_thresholds
 from lakeload.operators.cdc import scd2
 from lakeload.operators.control import header_footer, header_footer_stream
 from lakeload.operators.ledger import file_ledger, new_paths, skip_loaded
@@ -126,12 +126,30 @@ def load_audit(
     exception: dict | None = None,
     header_footer_table: str | None = None,
     run: str | None = None,
+    enforce: bool = False,
 ) -> DataFrame:
-    """Append the audit of one process and return its rows."""
+    """Append the audit of one process and return its rows.
+
+    With ``enforce`` a breach of the exception thresholds raises, after the audit is stored.
+    """
     control = store.read(header_footer_table) if header_footer_table else None
     store.ensure(name, CONTROL_AUDIT_SCHEMA if control is not None else AUDIT_SCHEMA)
     rows = audit(store.read(raw), process_id, source, target, warning, exception, control)
-    return store.read_run(name, store.append(name, rows, run))
+    stored = store.read_run(name, store.append(name, rows, run))
+    if enforce:
+        enforce_thresholds(stored)
+    return stored
+
+
+def create_control_tables(
+    store: Store, audits: list[str], header_footer_table: str | None = None
+) -> None:
+    """Create the audit tables, and the control record table, before the first load."""
+    schema = CONTROL_AUDIT_SCHEMA if header_footer_table else AUDIT_SCHEMA
+    for name in audits:
+        store.ensure(name, schema)
+    if header_footer_table:
+        store.ensure(header_footer_table, HEADER_FOOTER_SCHEMA)
 
 
 def load_base(store: Store, raw: str, base: str) -> None:

@@ -812,6 +812,20 @@ def constraints_quarantine(spark, sf_dir):
     )
 
 
+@query("""
+    select 'events-' || strftime(ts, '%Y%m%d') || '.csv' as file_name, event_type <> 'error' as _is_valid,
+           count(*) as row_count
+    from events group by all having count(*) > 1
+""")
+def named_views(spark, sf_dir):
+    """Datasets read by name in SQL, grouped by all selected columns, one of them in a struct."""
+    raw_events(spark, sf_dir).createOrReplaceTempView("lakeload_raw_events")
+    return spark.sql("""
+        select _metadata.file_name, _is_valid, count(1) as row_count
+        from lakeload_raw_events group by all having count(1) > 1
+    """)
+
+
 @query("select distinct source, lang from documents")
 def distinct_sources(spark, sf_dir):
     return distinct_rows(table(spark, sf_dir, "documents"), ["source", "lang"])

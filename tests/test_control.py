@@ -6,9 +6,21 @@ import pytest
 
 from conftest import rows
 from control_files import DAYS, DETAILS_DDL, PREFERENCES_DDL, SHAPE, write_all, write_file
-from lakeload.operators.audit import audit, evaluate_thresholds, merge_thresholds, reconcile, thresholds_struct
+from lakeload.operators.audit import (
+    ThresholdBreach,
+    audit,
+    evaluate_thresholds,
+    merge_thresholds,
+    reconcile,
+    thresholds_struct,
+)
 from lakeload.operators.control import header_footer
-from lakeload.plans.jobs import load_audit, load_header_footer, load_raw
+from lakeload.plans.jobs import (
+    create_control_tables,
+    load_audit,
+    load_header_footer,
+    load_raw,
+)
 from lakeload.sources import (
     AUDIT_SCHEMA,
     CONTROL_AUDIT_SCHEMA,
@@ -140,6 +152,22 @@ def test_thresholds(store, tmp_path, warning, exception, status):
     assert [r.status for r in evaluate_thresholds(audited).collect()] == [status]
 
 
+def test_breach_raises_after_the_audit_is_stored(store, tmp_path):
+    load(store, tmp_path, "customer_details_1")
+    create_control_tables(store, ["audit"])
+    names = (("landing", "customer_details_1"), ("raw", "customer_details_1"))
+    load_audit(store, "customer_details_1", "audit", 1, *names, exception={"max_rows": 14}, enforce=True)
+    with pytest.raises(ThresholdBreach, match="2 files"):
+        load_audit(store, "customer_details_1", "audit", 1, *names, exception={"max_rows": 13}, enforce=True)
+    assert store.read("audit").count() == 6
+
+
+def test_create_control_tables(store):
+    create_control_tables(store, ["raw_audit", "base_audit"], "hf")
+    assert store.read("base_audit").schema.simpleString() == CONTROL_AUDIT_SCHEMA.simpleString()
+    assert store.read("hf").count() == 0
+
+
 def test_table_thresholds_win():
     assert merge_thresholds({"invalid_rows": 0, "min_rows": 1}, {"invalid_rows": 2}) == {
         "invalid_rows": 2, "min_rows": 1

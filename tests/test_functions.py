@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from lakeload.functions import (
     Timeslice,
-    date_pattern,
+    date_parts,
     hash_value,
     row_hash,
     safe_ratio,
@@ -16,11 +16,25 @@ from lakeload.functions import (
 from lakeload.sources import landing_glob
 
 
-def test_date_pattern():
-    assert date_pattern("%Y%m%d") == (r"\d{4}\d{2}\d{2}", "yyyyMMdd")
-    assert date_pattern("%Y-%m-%dT%H")[1] == "yyyy-MM-dd'T'HH"
-    with pytest.raises(ValueError):
-        date_pattern("%Y%j")
+def test_date_parts():
+    assert date_parts("%Y%m%d") == (r"\d{4}\d{2}\d{2}", {"%Y": 1, "%m": 5, "%d": 7})
+    assert date_parts("%Y-%mT%H")[1] == {"%Y": 1, "%m": 6, "%H": 9}
+    for bad in ("%Y%j", "%m%d"):
+        with pytest.raises(ValueError):
+            date_parts(bad)
+
+
+@pytest.mark.parametrize(
+    "name, fmt, expected",
+    [
+        ("t-202301.csv", "%Y%m", dt.datetime(2023, 1, 1)),
+        ("t-2023-01-05T10.csv", "%Y-%m-%dT%H", dt.datetime(2023, 1, 5, 10)),
+        ("t-05012023.csv", "%d%m%Y", dt.datetime(2023, 1, 5)),
+    ],
+)
+def test_slice_date_formats(spark, name, fmt, expected):
+    df = spark.createDataFrame([(name,)], "name string")
+    assert df.select(slice_date_from(F.col("name"), fmt)).first()[0] == expected
 
 
 @pytest.mark.parametrize(
@@ -50,6 +64,11 @@ def test_timeslice(text, glob):
     assert Timeslice.parse(text).to_glob("%Y%m%d") == glob
 
 
+def test_timeslice_of_numbers():
+    assert Timeslice(2023, 1, 2).to_glob("%Y/%m/%d") == "2023/01/02"
+    assert Timeslice(year=2023).to_glob("%Y%m") == "2023*"
+
+
 def test_timeslice_rejects_text():
     with pytest.raises(ValueError):
         Timeslice.parse("January")

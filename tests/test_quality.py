@@ -8,7 +8,7 @@ from lakeload.operators.quality import (
     duplicate_keys,
     split_constraints,
 )
-from lakeload.operators.stage import retain, split_valid
+from lakeload.operators.stage import inserted_rows, retain, split_valid
 from lakeload.plans.jobs import build_customers
 
 DATA = [(1, "a", 5), (1, "b", None), (2, "a", -1), (None, "a", 3), (None, "a", 3)]
@@ -53,6 +53,14 @@ def test_split_valid(spark):
     assert (rows(good, "id"), rows(bad, "id")) == ([(1,)], [(2,), (3,)])
 
 
+def test_inserted_rows(spark):
+    feed = spark.createDataFrame(
+        [(1, "insert", 1), (2, "delete", 2), (3, "update_postimage", 2)],
+        "id int, _change_type string, _commit_version long",
+    )
+    assert rows(inserted_rows(feed)) == [(1,)]
+
+
 def test_retain(spark):
     days = [(dt.datetime(2023, 1, d),) for d in (1, 5, 10)]
     df = spark.createDataFrame(days, "_slice_date timestamp")
