@@ -105,12 +105,17 @@ def load_header_footer(
     checkpoint: str | None = None,
     watermark: str | None = None,
     run: str | None = None,
+    state_partitions: int | None = None,
 ) -> None:
-    """Extract the control records of a loaded process (batch) or of all new rows (stream)."""
+    """Extract the control records of a loaded process (batch) or of all new rows (stream).
+
+    A file has two control records, so the join state of a stream needs few partitions.
+    """
     store.ensure(name, HEADER_FOOTER_SCHEMA)
     if mode == "stream":
         rows = store.read_stream(raw, store.read(raw).schema)
-        store.append_stream(name, header_footer_stream(rows, watermark), checkpoint)
+        matched = header_footer_stream(rows, watermark)
+        store.append_stream(name, matched, checkpoint, state_partitions=state_partitions)
     else:
         store.append(name, header_footer(store.read(raw), process_id), run)
 

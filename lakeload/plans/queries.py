@@ -10,11 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from lakeload.functions.scalar import hash_value, row_hash
 from lakeload.operators.audit import audit, evaluate_thresholds, merge_thresholds, reconcile
 from lakeload.operators.cdc import END, START, apply_cdc, as_of, history, scd2, unsequenced
-from lakeload.operators.control import header_footer, header_footer_stream, parse_control
+from lakeload.operators.control import header_footer, parse_control
 from lakeload.operators.ledger import audit_ledger, skip_loaded
 from lakeload.operators.quality import (
     check_constraints,
@@ -48,7 +49,16 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        def wall_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+            """Timestamps as the wall clock of the session, which is what the SQL sees."""
+            df = run(spark, sf_dir)
+            return df.select(*(
+                F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                if isinstance(f.dataType, TimestampType) else F.col(f.name)
+                for f in df.schema.fields
+            ))
+
+        QUERIES[run.__name__] = wall_clock
         if sql is not None:
             ORACLES[run.__name__] = sql
         return run
@@ -314,8 +324,10 @@ def header_footer_streamed(spark, sf_dir):
     """The match as a stream-stream join over the stored raw table."""
     store = new_store(spark, "control")
     store.append("raw", raw_control(spark, sf_dir))
-    rows = store.read_stream("raw", store.read("raw").schema)
-    store.append_stream("header_footer", header_footer_stream(rows, "1 day"), store.path("checkpoint"))
+    load_header_footer(
+        store, "raw", "header_footer", 1, "stream", store.path("checkpoint"), "1 day",
+        state_partitions=4,
+    )
     return store.read("header_footer").selectExpr(*_CONTROL)
 
 

@@ -100,6 +100,7 @@ class Store:
         checkpoint: str,
         partition_by: dict[str, Column] | None = None,
         cluster_by: list[str] | None = None,
+        state_partitions: int | None = None,
     ) -> None:
         """Append everything available, one run per micro-batch, and wait for the end."""
 
@@ -107,7 +108,8 @@ class Store:
             run = f"stream-{query_id(batch)}-{batch_id}"
             self.append(name, batch, run, partition_by, cluster_by)
 
-        run_available(stream.writeStream.foreachBatch(write), checkpoint)
+        writer = stream.writeStream.foreachBatch(write)
+        run_available(self.spark, writer, checkpoint, state_partitions)
 
     def view(self, name: str, view: str | None = None) -> DataFrame:
         """Register the table as a temporary view for SQL."""

@@ -73,7 +73,7 @@ def stream_scd2(
             .save(store.path(target))
         )
 
-    run_available(changes.writeStream.foreachBatch(update), checkpoint)
+    run_available(spark, changes.writeStream.foreachBatch(update), checkpoint)
 
 
 def read_history(store: Store, target: str) -> DataFrame:

@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
-    """Start with the ``availableNow`` trigger and wait; an error in the stream is raised here."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+STATE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def run_available(
+    spark: SparkSession, writer: DataStreamWriter, checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Start with the ``availableNow`` trigger and wait; an error in the stream is raised here.
+
+    ``state_partitions`` sizes the state of a stream that joins or aggregates. A checkpoint keeps
+    the number of its first run, so it is set here per stream instead of per session.
+    """
+    usual = spark.conf.get(STATE_PARTITIONS)
+    if state_partitions is not None:
+        spark.conf.set(STATE_PARTITIONS, state_partitions)
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(STATE_PARTITIONS, usual)
     query.awaitTermination()
     return query
 
