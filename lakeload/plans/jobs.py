@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeload.operators.audit import audit, enforce_thresholds
@@ -10,12 +11,38 @@ from lakeload.operators.cdc import scd2
 from lakeload.operators.control import header_footer, header_footer_stream
 from lakeload.operators.ledger import file_ledger, new_paths, skip_loaded
 from lakeload.operators.stage import stage, valid_rows
-from lakeload.sinks.store import Store
+from lakeload.sinks.store import RUN, Store
 from lakeload.sources.files import FILE_KEYS
 from lakeload.sources.landing import read_landing, stream_landing
 from lakeload.sources.schema import AUDIT_SCHEMA, CONTROL_AUDIT_SCHEMA, HEADER_FOOTER_SCHEMA
 
 
+# Up to this many runs are told apart by name; beyond it the ledger comes from all of raw.
+LISTED_RUNS = 10_000
+
+
+def loaded_files(store: Store, name: str) -> DataFrame:
+    """The files a raw table holds, kept in the table ``<name>_files``.
+
+    Before it is used the ledger catches up with runs it does not know yet, reading the lineage of
+    those runs only. So it never misses a finished load, wherever an earlier job stopped, and each
+    run is scanned for its files once. One job at a time may load a table.
+    """
+    ledger = f"{name}_files"
+    raw = store.read_with_runs(name)
+    lineage = raw.select(*(F.col(f"_metadata.{k}").alias(k) for k in FILE_KEYS), F.col(RUN).alias("run"))
+    known = []
+    if store.exists(ledger):
+        runs = store.read(ledger).select("run").distinct().limit(LISTED_RUNS + 1)
+        known = [r.run for r in runs.collect()]
+    if len(known) > LISTED_RUNS:
+        return file_ledger(store.read(name))
+    new = lineage.where(~F.col("run").isin(known)) if known else lineage
+    if not (known and new.isEmpty()):
+        store.append(ledger, new.distinct())
+    return store.read(ledger).select(*FILE_KEYS)
+
+
 def load_raw(
     store: Store,
     name: str,
@@ -37,12 +64,13 @@ def load_raw(
     slice_from: str | None = "file",
     validity: bool = True,
     meta_first: bool = False,
-) -> None:
+) -> str | None:
     """Load landing files into a raw table, leaving out files it already holds.
 
-    The ledger of loaded files is the raw table's own lineage unless another one is passed, so a
-    failure between the load and its audit cannot load a file twice. In batch mode the listing is
-    compared with the ledger first and only the new files are read.
+    The ledger of loaded files follows the raw table's own lineage unless another one is passed,
+    so a failure between the load and its audit cannot load a file twice. In batch mode the
+    listing is compared with the ledger first and only the new files are read; the name of the run
+    is returned, or None when there was nothing new.
     """
     spark = store.spark
 
@@ -52,7 +80,7 @@ def load_raw(
         )
 
     if ledger is None and drop_loaded and store.exists(name):
-        ledger = file_ledger(store.read(name), ledger_keys)
+        ledger = loaded_files(store, name)
     if not drop_loaded:
         ledger = None
 
@@ -63,16 +91,16 @@ def load_raw(
         if ledger is not None:
             rows = skip_loaded(rows, ledger, ledger_keys)
         store.append_stream(name, rows, checkpoint, partition_by, cluster_by)
-    elif mode == "batch":
+        return None
+    if mode == "batch":
         paths = new_paths(spark, path, ledger, ledger_keys) if ledger is not None else None
         if paths == []:
-            return
+            return None
         rows = staged(read_landing(spark, path if paths is None else paths, schema, fmt, options))
         if ledger is not None and paths is None:
             rows = skip_loaded(rows, ledger, ledger_keys)
-        store.append(name, rows, run, partition_by, cluster_by)
-    else:
-        raise ValueError(f"mode must be 'batch' or 'stream', got {mode!r}")
+        return store.append(name, rows, run, partition_by, cluster_by)
+    raise ValueError(f"mode must be 'batch' or 'stream', got {mode!r}")
 
 
 def copy_into(
@@ -84,18 +112,21 @@ def copy_into(
     options: dict | None = None,
 ) -> None:
     """Idempotent load of files as they are, with their ``_metadata``; known files are skipped."""
-    paths = None
-    if store.exists(name):
-        paths = new_paths(store.spark, path, ledger := file_ledger(store.read(name)))
-        if paths == []:
-            return
+    ledger = loaded_files(store, name) if store.exists(name) else None
+    paths = None if ledger is None else new_paths(store.spark, path, ledger)
+    if paths == []:
+        return
     rows = read_landing(store.spark, path if paths is None else paths, schema, fmt, options)
     rows = rows.select("*", "_metadata")
-    if paths is None and store.exists(name):
+    if ledger is not None and paths is None:
         rows = skip_loaded(rows, ledger)
     store.append(name, rows)
 
 
+def _loaded(store: Store, raw: str, run: str | None) -> DataFrame:
+    return store.read(raw) if run is None else store.read_run(raw, run)
+
+
 def load_header_footer(
     store: Store,
     raw: str,
@@ -106,10 +137,12 @@ def load_header_footer(
     watermark: str | None = None,
     run: str | None = None,
     state_partitions: int | None = None,
+    raw_run: str | None = None,
 ) -> None:
     """Extract the control records of a loaded process (batch) or of all new rows (stream).
 
-    A file has two control records, so the join state of a stream needs few partitions.
+    With the ``raw_run`` that ``load_raw`` returned only that run's files are opened. A file has
+    two control records, so the join state of a stream needs few partitions.
     """
     store.ensure(name, HEADER_FOOTER_SCHEMA)
     if mode == "stream":
@@ -117,7 +150,7 @@ def load_header_footer(
         matched = header_footer_stream(rows, watermark)
         store.append_stream(name, matched, checkpoint, state_partitions=state_partitions)
     else:
-        store.append(name, header_footer(store.read(raw), process_id), run)
+        store.append(name, header_footer(_loaded(store, raw, raw_run), process_id), run)
 
 
 def load_audit(
@@ -132,14 +165,17 @@ def load_audit(
     header_footer_table: str | None = None,
     run: str | None = None,
     enforce: bool = False,
+    raw_run: str | None = None,
 ) -> DataFrame:
     """Append the audit of one process and return its rows.
 
-    With ``enforce`` a breach of the exception thresholds raises, after the audit is stored.
+    With ``enforce`` a breach of the exception thresholds raises, after the audit is stored. With
+    the ``raw_run`` that ``load_raw`` returned only that run's files are opened.
     """
     control = store.read(header_footer_table) if header_footer_table else None
     store.ensure(name, CONTROL_AUDIT_SCHEMA if control is not None else AUDIT_SCHEMA)
-    rows = audit(store.read(raw), process_id, source, target, warning, exception, control)
+    loaded = _loaded(store, raw, raw_run)
+    rows = audit(loaded, process_id, source, target, warning, exception, control)
     stored = store.read_run(name, store.append(name, rows, run))
     if enforce:
         enforce_thresholds(stored)

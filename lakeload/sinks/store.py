@@ -82,10 +82,13 @@ class Store:
             reader = reader.schema(schema)
         return reader.load(self.path(name)).drop(RUN)
 
+    def read_with_runs(self, name: str) -> DataFrame:
+        """The whole table with its run in ``_load``; conditions on it choose directories."""
+        return self.spark.read.format(self.fmt).load(self.path(name))
+
     def read_run(self, name: str, run: str) -> DataFrame:
-        """The rows of one run; only its partition is listed and read."""
-        table = self.spark.read.format(self.fmt).load(self.path(name))
-        return table.where(F.col(RUN) == run).drop(RUN)
+        """The rows of one run; files of other runs are not opened."""
+        return self.read_with_runs(name).where(F.col(RUN) == run).drop(RUN)
 
     def read_stream(self, name: str, schema: StructType, **options: str) -> DataFrame:
         """Rows appended since the checkpoint: on an append-only table these are its inserts."""

@@ -1,8 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from control_files import DETAILS_DDL, write_file
 from lakeload.operators import ledger
+from lakeload.plans import jobs
 from lakeload.plans.jobs import copy_into, load_audit, load_raw
 from lakeload.sources import CONTROL_CSV
 
@@ -20,7 +22,7 @@ def strategy(request, monkeypatch):
 
 
 def load(store, tmp_path, process_id, **how):
-    load_raw(
+    return load_raw(
         store, "raw", str(tmp_path / "in" / TABLE / "*"), DETAILS_DDL, process_id,
         options=CONTROL_CSV, **how,
     )
@@ -41,6 +43,42 @@ def test_rerun_adds_only_new_files(store, tmp_path, strategy):
     assert counts(store) == [(1, f"{TABLE}-20230101.csv", 12), (3, f"{TABLE}-20230102.csv", 14)]
 
 
+def test_kept_ledger_follows_the_lineage(spark, store, tmp_path, monkeypatch):
+    """Runs the ledger does not know are caught up, each once; too many runs use all of raw."""
+    for day in ("20230101", "20230102", "20230103"):
+        write_file(tmp_path / "in", TABLE, day)
+        load(store, tmp_path, 1)
+    assert store.read("raw_files").groupBy("run").count().count() == 2
+    whole = rows(ledger.file_ledger(store.read("raw")))
+    assert rows(jobs.loaded_files(store, "raw")) == whole
+    assert len(whole) == 3 and store.read("raw_files").count() == 3
+    monkeypatch.setattr(jobs, "LISTED_RUNS", 1)
+    assert rows(jobs.loaded_files(store, "raw")) == whole
+
+
+def test_only_new_runs_are_scanned_for_their_files(spark, store, tmp_path):
+    write_file(tmp_path / "in", TABLE, "20230101")
+    load(store, tmp_path, 1)
+    assert rows(store.read_run("raw", "none")) == []
+    table = store.read_with_runs("raw").where(~F.col("_load").isin(["run-a", "run-b"]))
+    assert "PartitionFilters: [NOT _load" in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_of_a_load_limits_its_audit(store, tmp_path):
+    write_file(tmp_path / "in", TABLE, "20230101")
+    first = load(store, tmp_path, 1)
+    assert load(store, tmp_path, 1) is None
+    write_file(tmp_path / "in", TABLE, "20230102")
+    second = load(store, tmp_path, 1)
+    for run, total in ((first, 12), (second, 14)):
+        jobs.load_header_footer(store, "raw", f"hf-{run}", 1, raw_run=run)
+        audited = load_audit(
+            store, "raw", "audit", 1, ("landing", TABLE), ("raw", "raw"),
+            header_footer_table=f"hf-{run}", raw_run=run,
+        )
+        assert rows(audited, "total_count") == [(total,)]
+
+
 def test_without_ledger_files_load_again(store, tmp_path):
     write_file(tmp_path / "in", TABLE, "20230101")
     load(store, tmp_path, 1)
