@@ -1,6 +1,6 @@
 """Column functions shared by the loading operators."""
 
-from lakeload.functions.dates import Timeslice, date_parts, slice_date_from
+from lakeload.functions.dates import Timeslice, date_regex, slice_date_from
 from lakeload.functions.scalar import hash_value, row_hash, safe_ratio
 
-__all__ = ["Timeslice", "date_parts", "hash_value", "row_hash", "safe_ratio", "slice_date_from"]
+__all__ = ["Timeslice", "date_regex", "hash_value", "row_hash", "safe_ratio", "slice_date_from"]

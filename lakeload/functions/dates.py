@@ -19,23 +19,24 @@ _DATE_PARTS = {
 }
 
 
-def date_parts(fmt: str) -> tuple[str, dict[str, int]]:
-    """The regular expression of a strftime format such as ``%Y%m%d``, and where its parts start."""
-    regex, starts, length = "", {}, 0
+def date_regex(fmt: str) -> tuple[str, str]:
+    """A strftime format such as ``%Y%m%d`` as a regular expression with one group per part, and
+    the ISO timestamp in terms of those groups."""
+    regex, groups = "", {}
     for token in re.findall(r"%.|[^%]+", fmt):
         if not token.startswith("%"):
             regex += re.escape(token)
-            length += len(token)
         elif token in _DATE_PARTS:
-            digits = _DATE_PARTS[token][0]
-            regex += rf"\d{{{digits}}}"
-            starts[token] = length + 1
-            length += digits
+            regex += rf"(\d{{{_DATE_PARTS[token][0]}}})"
+            groups[token] = f"${len(groups) + 1}"
         else:
             raise ValueError(f"unsupported date part {token!r} in {fmt!r}")
-    if "%Y" not in starts:
+    if "%Y" not in groups:
         raise ValueError(f"the date format needs %Y, got {fmt!r}")
-    return regex, starts
+    year, month, day, hour, minute, second = (
+        groups.get(part, default) for part, (_, default) in _DATE_PARTS.items()
+    )
+    return regex, f"{year}-{month}-{day} {hour}:{minute}:{second}"
 
 
 def slice_date_from(text: Column, fmt: str = "%Y%m%d", directory: bool = False) -> Column:
@@ -43,19 +44,13 @@ def slice_date_from(text: Column, fmt: str = "%Y%m%d", directory: bool = False)
 
     Text without a date gives null, so a stray file never fails a load.
     """
-    regex, starts = date_parts(fmt)
+    regex, iso = date_regex(fmt)
     if directory:
-        regex = rf"^.*/(?:[^/=]*=)?({regex})/"
+        regex = rf"^.*/(?:[^/=]*=)?{regex}/.*$"
     else:
-        regex = rf"^.*(?<!\d)({regex})"
-    found = F.regexp_extract(text, regex, 1)
-    year, month, day, hour, minute, second = (
-        F.substring(found, starts[part], digits) if part in starts else F.lit(default)
-        for part, (digits, default) in _DATE_PARTS.items()
-    )
-    # Casting ISO text is several times faster than parsing with a pattern.
-    date, time = F.concat_ws("-", year, month, day), F.concat_ws(":", hour, minute, second)
-    return F.concat_ws(" ", date, time).try_cast("timestamp")
+        regex = rf"^.*(?<!\d){regex}.*$"
+    # Casting ISO text is faster than parsing with a pattern. Text left as it is had no date.
+    return F.nullif(F.regexp_replace(text, regex, iso), text).try_cast("timestamp")
 
 
 @dataclass(frozen=True)

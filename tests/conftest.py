@@ -2,28 +2,25 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from lakeload.session import session  # noqa: E402
 from lakeload.sinks.store import Store  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.legacy.javaCharsets", "true")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-        .getOrCreate()
+    spark = session(
+        "tests",
+        "local[8]",
+        spark__ui__showConsoleProgress="false",
+        spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
-    session.sparkContext.setLogLevel("ERROR")
-    yield session
-    session.stop()
+    spark.sparkContext.setLogLevel("ERROR")
+    yield spark
+    spark.stop()
 
 
 @pytest.fixture

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from lakeload.functions import (
     Timeslice,
-    date_parts,
+    date_regex,
     hash_value,
     row_hash,
     safe_ratio,
@@ -16,12 +16,12 @@ from lakeload.functions import (
 from lakeload.sources import landing_glob
 
 
-def test_date_parts():
-    assert date_parts("%Y%m%d") == (r"\d{4}\d{2}\d{2}", {"%Y": 1, "%m": 5, "%d": 7})
-    assert date_parts("%Y-%mT%H")[1] == {"%Y": 1, "%m": 6, "%H": 9}
+def test_date_regex():
+    assert date_regex("%Y%m%d") == (r"(\d{4})(\d{2})(\d{2})", "$1-$2-$3 00:00:00")
+    assert date_regex("%m-%YT%H") == (r"(\d{2})\-(\d{4})T(\d{2})", "$2-$1-01 $3:00:00")
     for bad in ("%Y%j", "%m%d"):
         with pytest.raises(ValueError):
-            date_parts(bad)
+            date_regex(bad)
 
 
 @pytest.mark.parametrize(
@@ -45,6 +45,7 @@ def test_slice_date_formats(spark, name, fmt, expected):
         ("t-20230102235959.csv", False, dt.datetime(2023, 1, 2)),
         ("t-20231399.csv", False, None),
         ("nothing.csv", False, None),
+        ("2023-01-05", False, None),
         ("file:/landing/t/20230102/t.csv", True, dt.datetime(2023, 1, 2)),
         ("file:/landing/day=20230102/part-0-12345678-0.csv", True, dt.datetime(2023, 1, 2)),
         ("file:/landing/20230101x/t.csv", True, None),
