@@ -39,18 +39,28 @@ def date_regex(fmt: str) -> tuple[str, str]:
     return regex, f"{year}-{month}-{day} {hour}:{minute}:{second}"
 
 
-def slice_date_from(text: Column, fmt: str = "%Y%m%d", directory: bool = False) -> Column:
-    """The last date in a file name, or with ``directory`` the last directory named by a date.
+def _slice_date(text: Column, regex: str, iso: str) -> Column:
+    # Casting ISO text is faster than parsing with a pattern. Text left as it is had no date.
+    return F.nullif(F.regexp_replace(text, regex, iso), text).try_cast("timestamp")
+
+
+def slice_date_from(name: Column, fmt: str = "%Y%m%d") -> Column:
+    """The last date in a file name. A name without one gives null, so a stray file never fails a
+    load."""
+    regex, iso = date_regex(fmt)
+    return _slice_date(name, rf"^.*(?<!\d){regex}.*$", iso)
 
-    Text without a date gives null, so a stray file never fails a load.
+
+def directory_slice_date(path: Column, name: Column, fmt: str = "%Y%m%d") -> Column:
+    """The date that names a file's directory, as ``20230101`` or ``day=20230101``.
+
+    Only the end of the directory is cut out and matched: this runs once per row, and matching
+    whole paths would cost about as much as reading the row.
     """
     regex, iso = date_regex(fmt)
-    if directory:
-        regex = rf"^.*/(?:[^/=]*=)?{regex}/.*$"
-    else:
-        regex = rf"^.*(?<!\d){regex}.*$"
-    # Casting ISO text is faster than parsing with a pattern. Text left as it is had no date.
-    return F.nullif(F.regexp_replace(text, regex, iso), text).try_cast("timestamp")
+    width = sum(_DATE_PARTS[t][0] if t[0] == "%" else len(t) for t in re.findall(r"%.|[^%]+", fmt))
+    start = F.length(path) - F.length(name) - width - 1
+    return _slice_date(path.substr(start, F.lit(width + 1)), rf"^[/=]{regex}$", iso)
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.functions.dates import slice_date_from
+from lakeload.functions.dates import directory_slice_date, slice_date_from
 from lakeload.sources.schema import CORRUPT_COLUMN
 
 
@@ -33,7 +33,8 @@ def stage(
     elif slice_from == "file":
         slice_date = slice_date_from(F.col("_metadata.file_name"), slice_format)
     elif slice_from == "path":
-        slice_date = slice_date_from(F.col("_metadata.file_path"), slice_format, directory=True)
+        path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+        slice_date = directory_slice_date(path, name, slice_format)
     else:
         raise ValueError(f"slice_from must be 'file', 'path' or None, got {slice_from!r}")
     lineage = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions.dates import slice_date_from
+from lakeload.functions.dates import directory_slice_date, slice_date_from
 
 # The columns that identify a loaded file.
 FILE_KEYS = ["file_path", "file_name", "file_size", "file_modification_time"]
@@ -34,6 +34,10 @@ def ready_slices(
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     paths = [(path,) for path in reader.load(directory).inputFiles()]
     files = spark.createDataFrame(paths, "path string")
-    name = F.col("path") if from_directory else F.substring_index("path", "/", -1)
-    dates = files.select(slice_date_from(name, fmt, from_directory).alias("_slice_date"))
+    name = F.substring_index("path", "/", -1)
+    if from_directory:
+        date = directory_slice_date(F.col("path"), name, fmt)
+    else:
+        date = slice_date_from(name, fmt)
+    dates = files.select(date.alias("_slice_date"))
     return dates.where(F.col("_slice_date").isNotNull()).distinct()

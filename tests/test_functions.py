@@ -8,11 +8,13 @@ from conftest import rows
 from lakeload.functions import (
     Timeslice,
     date_regex,
+    directory_slice_date,
     hash_value,
     row_hash,
     safe_ratio,
     slice_date_from,
 )
+from lakeload.operators.stage import stage
 from lakeload.sources import landing_glob
 
 
@@ -49,12 +51,18 @@ def test_slice_date_formats(spark, name, fmt, expected):
         ("file:/landing/t/20230102/t.csv", True, dt.datetime(2023, 1, 2)),
         ("file:/landing/day=20230102/part-0-12345678-0.csv", True, dt.datetime(2023, 1, 2)),
         ("file:/landing/20230101x/t.csv", True, None),
+        ("file:/landing/120230101/t.csv", True, None),
+        ("t.csv", True, None),
+        ("file:/20230101/landing/t.csv", True, None),
     ],
 )
 def test_slice_date(spark, name, directory, expected):
     df = spark.createDataFrame([(name,)], "name string")
-    got = df.select(slice_date_from(F.col("name"), "%Y%m%d", directory)).first()[0]
-    assert got == expected
+    if directory:
+        date = directory_slice_date(F.col("name"), F.substring_index("name", "/", -1))
+    else:
+        date = slice_date_from(F.col("name"))
+    assert df.select(date).first()[0] == expected
 
 
 @pytest.mark.parametrize(
@@ -89,3 +97,21 @@ def test_hashes(spark):
 def test_safe_ratio(spark):
     df = spark.createDataFrame([(1, 4), (0, 0), (1, None)], "a long, b long")
     assert [r[0] for r in df.select(safe_ratio(F.col("a"), F.col("b"))).collect()] == [0.25, 0.0, 0.0]
+
+
+def test_slice_date_of_nested_directories(spark):
+    df = spark.createDataFrame([("file:/landing/t/2023/01/05/t-0.csv",)], "path string")
+    date = directory_slice_date(F.col("path"), F.lit("t-0.csv"), "%Y/%m/%d")
+    assert df.select(date).first()[0] == dt.datetime(2023, 1, 5)
+
+
+def test_slice_date_of_odd_file_names(spark, tmp_path):
+    """File names that a path writes differently still end the path."""
+    folder = tmp_path / "20230105"
+    folder.mkdir()
+    for name in ("a b.csv", "ä%20.csv", "x=1.csv"):
+        (folder / name).write_text("1\n")
+    raw = spark.read.schema("id int").csv(str(folder)).select("*", "_metadata")
+    df = stage(raw, 1, slice_from="path", validity=False)
+    assert rows(df.select("_slice_date").distinct()) == [(dt.datetime(2023, 1, 5),)]
+    assert df.count() == 3
