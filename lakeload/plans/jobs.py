@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeload.operators.audit import audit, enforce_thresholds
-from lakeload.operators.cdc import scd2
+from lakeload.operators.cdc import apply_cdc, scd2
 from lakeload.operators.control import header_footer, header_footer_stream
 from lakeload.operators.ledger import file_ledger, new_paths, skip_loaded
 from lakeload.operators.stage import stage, valid_rows
@@ -198,13 +198,48 @@ def load_base(store: Store, raw: str, base: str) -> None:
     store.replace(base, valid_rows(store.read(raw)))
 
 
+def _change_rows(store: Store, raw: str, used: list[str]) -> tuple[DataFrame, list[str]]:
+    """The valid source rows of raw, with the system columns a sequence uses, and those columns."""
+    rows = store.read(raw)
+    if "_is_valid" in rows.columns:
+        rows = valid_rows(rows)
+    system = [c for c in used if c.startswith("_")]
+    source = [c for c in rows.columns if not c.startswith("_")]
+    return rows.select(*source, *system), system
+
+
+def load_current(
+    store: Store,
+    raw: str,
+    base: str,
+    keys: list[str],
+    sequence_by: list[str],
+    op_column: str | None = None,
+    except_cols: tuple[str, ...] = (),
+) -> None:
+    """The base table as the current row per key; ``sequence_by`` may name ``_slice_date``."""
+    rows, system = _change_rows(store, raw, sequence_by)
+    store.replace(
+        base, apply_cdc(rows, keys, sequence_by, op_column, except_cols=(*except_cols, *system))
+    )
+
+
 def load_history(
-    store: Store, raw: str, base: str, keys: list[str], sequence_by: str | list[str], **how
+    store: Store,
+    raw: str,
+    base: str,
+    keys: list[str],
+    sequence_by: str | list[str],
+    except_cols: tuple[str, ...] = (),
+    tie_cols: tuple[str, ...] = (),
+    **how,
 ) -> None:
-    """The base table as type 2 history of raw; options as in ``scd2``."""
-    rows = store.read(raw)
-    rows = rows.select(*(c for c in rows.columns if not c.startswith("_")))
-    store.replace(base, scd2(rows, keys, sequence_by, **how))
+    """The base table as type 2 history of raw; other options as in ``scd2``."""
+    sequence = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
+    rows, system = _change_rows(store, raw, [*sequence, *tie_cols])
+    store.replace(
+        base, scd2(rows, keys, sequence, (*except_cols, *system), tie_cols, **how)
+    )
 
 
 def build_customers(

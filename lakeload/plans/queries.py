@@ -30,6 +30,7 @@ from lakeload.plans.jobs import (
     copy_into,
     load_audit,
     load_base,
+    load_current,
     load_header_footer,
     load_history,
     load_raw,
@@ -223,8 +224,8 @@ def stage_events_meta_first(spark, sf_dir):
     "cast(date_trunc('day', ts) as timestamp) as _slice_date from events"
 )
 def stage_events_plain(spark, sf_dir):
-    """Without process id and validity, as the pipeline and the balance loads stage rows."""
-    raw = raw_events(spark, sf_dir, validity=False)
+    """Without process id and validity columns."""
+    raw = stage(parsed(event_lines(spark, sf_dir), EVENT_DDL), None, validity=False)
     return raw.select(*_STAGED[:5], "_slice_date")
 
 
@@ -652,6 +653,21 @@ def _status_columns(versions: DataFrame, key: str) -> DataFrame:
     )
 
 
+@query("""
+    with late as (select *, date_trunc('day', ts) as _slice_date from events)
+    select user_id, event_id, event_type, value from (
+        select *, row_number() over (partition by user_id order by _slice_date desc, value desc, event_id desc) as n
+        from late where event_type <> 'error')
+    where n = 1
+""")
+def current_load(spark, sf_dir):
+    """Raw on disk to a stored current state, in the order of slice and then of a source column."""
+    store = new_store(spark, "current")
+    store.append("raw", raw_events(spark, sf_dir))
+    load_current(store, "raw", "base", ["user_id"], ["_slice_date", "value", "event_id"])
+    return store.read("base").select("user_id", "event_id", "event_type", "value")
+
+
 @query(_status_sql("o_custkey"))
 def scd2_customer_status(spark, sf_dir):
     return _status_history(table(spark, sf_dir, "orders"), "o_custkey")

@@ -53,7 +53,7 @@ class Store:
 
         ``partition_by`` maps partition column names to expressions; the rows are rebalanced by
         them first, which splits a hot partition over tasks and packs small ones. ``cluster_by``
-        range-sorts instead. Rows of one run share their load time, so clustering by that column
+        range-sorts instead, within the partitions. Rows of one run share their load time, so clustering by that column
         needs no work: every file of a run already has a single value.
         """
         run = run or f"run-{uuid.uuid4().hex}"
@@ -61,7 +61,8 @@ class Store:
         order = [c for c in cluster_by or [] if c != "_load_date"]
         df = df.withColumns(parts) if parts else df
         if order:
-            df = cluster(df, order)
+            # The writer sorts by partition first, so that comes first here too.
+            df = cluster(df, [*parts, *order])
         elif parts:
             df = df.hint("rebalance", *(F.col(c) for c in parts))
         target = f"{self.path(name)}/{RUN}={run}"

@@ -33,7 +33,8 @@ def stream_scd2(
     Changes are appended to the table ``log``, partitioned by a hash bucket of the key. Then the
     buckets this micro-batch touched are computed anew from the log, so late rows of any age fall
     into place, and replace their partitions of ``target``. Other buckets are neither read nor
-    written. A replayed micro-batch replaces its own log rows and arrives at the same history.
+    written. A replayed micro-batch replaces its own log rows and arrives at the same history;
+    until its write has ended, readers may see the touched buckets in part.
     Choose ``buckets`` so that one is a few hundred megabytes; a hot key inside a bucket is split.
     """
     spark = store.spark

@@ -106,6 +106,17 @@ def test_scd2_copies_of_one_row(spark):
     assert spark_scd2(df, False, split_rows=50) == whole
 
 
+def test_scd2_ties_of_a_hot_key(spark):
+    """Different rows at one moment: content orders them, and can cut them too."""
+    df = spark.range(4_000).selectExpr(
+        "'k' as k", "if(id < 3900, 5, cast(id as int)) as seq", "0 as sub",
+        "cast(id as string) as value", "0 as other", "'U' as op",
+    )
+    whole = spark_scd2(df, False, split_rows=None)
+    assert len(whole) == 4_000
+    assert spark_scd2(df.orderBy(F.rand(3)), False, split_rows=100) == whole
+
+
 @SETTINGS
 @given(data=changes, seed=st.randoms())
 def test_scd2_intervals(spark, data, seed):

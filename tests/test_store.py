@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from control_files import DETAILS_DDL, write_all
-from lakeload.plans.jobs import load_base, load_history, load_raw
+from control_files import DETAILS_DDL, PREFERENCES_DDL, write_all
+from lakeload.plans.jobs import load_base, load_current, load_history, load_raw
 from lakeload.sinks.layout import cluster
 from lakeload.sinks.scratch import scratch_dir
 from lakeload.sinks.store import Store
@@ -102,6 +102,38 @@ def test_base_loads(spark, store, tmp_path):
     assert versions.where("__END_AT is not null").count() == 0
 
 
+def test_current_and_history_of_control_files(spark, store, tmp_path):
+    """Header and footer lines stay out; the slice comes before the period, which may repeat."""
+    lines = {
+        "20230101": ['"H",2,20230101,b', '"I",2023-01-01 10:00:00,1,True', '"I",2023-01-01 10:00:00,2,True'],
+        "20230102": ['"H",2,20230102,b', '"U",2023-01-01 10:00:00,1,False', '"D",2023-01-02 10:00:00,2,True'],
+        "20230103": ['"H",1,20230103,b', '"I",2023-01-03 10:00:00,2,False'],
+    }
+    for day, content in lines.items():
+        (tmp_path / f"p-{day}.csv").write_text("\n".join(content) + '\n"F",p,20230101\n')
+    load_raw(store, "raw", str(tmp_path / "*.csv"), PREFERENCES_DDL, 1, options=CONTROL_CSV)
+    sequence = ["_slice_date", "period"]
+    load_current(store, "raw", "current", ["id"], sequence, "flag", except_cols=("flag", "period"))
+    assert rows(store.read("current")) == [(1, False), (2, False)]
+    load_history(
+        store, "raw", "history", ["id"], sequence, except_cols=("flag", "period"),
+        delete_when="flag = 'D'",
+    )
+    spans = store.read("history").selectExpr(
+        "id", "contact_allowed", "day(__START_AT._slice_date)", "day(__END_AT._slice_date)"
+    )
+    assert rows(spans) == [(1, False, 2, None), (1, True, 1, 2), (2, False, 3, None), (2, True, 1, 2)]
+
+
+def test_cluster_within_partitions(spark, store):
+    df = spark.range(4000).select((F.col("id") % 2).alias("p"), F.pmod(F.hash("id"), F.lit(1000)).alias("c"))
+    store.append("t", df, partition_by={"part": F.col("p")}, cluster_by=["c"])
+    per_file = store.read("t").groupBy("part", "_metadata.file_name").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    for part in (0, 1):
+        spans = sorted((r.lo, r.hi) for r in per_file.where(F.col("part") == part).collect())
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_cluster_gives_disjoint_files(spark, store):
     df = spark.range(4000).select(F.pmod(F.hash("id"), F.lit(1000)).alias("c"), "id")
     cluster(df, ["c"], 4).write.parquet(store.path("t"))
