@@ -20,6 +20,12 @@ from lakeload.streaming.run import query_id, run_available
 RUN = "_load"
 
 
+def run_name(run: str | None) -> str:
+    """A run's directory name; it starts with a letter, so Spark reads it back as text."""
+    run = run or uuid.uuid4().hex
+    return run if run.startswith(("run-", "stream-")) else f"run-{run}"
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark = spark
@@ -56,7 +62,7 @@ class Store:
         range-sorts instead, within the partitions. Rows of one run share their load time, so clustering by that column
         needs no work: every file of a run already has a single value.
         """
-        run = run or f"run-{uuid.uuid4().hex}"
+        run = run_name(run)
         parts = partition_by or {}
         order = [c for c in cluster_by or [] if c != "_load_date"]
         df = df.withColumns(parts) if parts else df
@@ -89,7 +95,7 @@ class Store:
 
     def read_run(self, name: str, run: str) -> DataFrame:
         """The rows of one run; files of other runs are not opened."""
-        return self.read_with_runs(name).where(F.col(RUN) == run).drop(RUN)
+        return self.read_with_runs(name).where(F.col(RUN) == run_name(run)).drop(RUN)
 
     def read_stream(self, name: str, schema: StructType, **options: str) -> DataFrame:
         """Rows appended since the checkpoint: on an append-only table these are its inserts."""

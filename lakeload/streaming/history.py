@@ -49,6 +49,7 @@ def stream_scd2(
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
         (
             batch.withColumn(BUCKET, bucket)
+            .hint("rebalance", F.col(BUCKET))
             .write.format(store.fmt)
             .mode("overwrite")
             .partitionBy(BUCKET)

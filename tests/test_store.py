@@ -27,6 +27,14 @@ def test_runs_have_their_own_names(spark, store):
     assert store.read("t").count() == 2
 
 
+def test_runs_named_by_dates_or_numbers(spark, store):
+    for run in ("20240101", "2024-01-02", "one", "007"):
+        store.append("t", spark.range(2), run)
+        assert store.read_run("t", run).count() == 2
+    assert store.read("t").count() == 8
+    assert dict(store.read_with_runs("t").dtypes)["_load"] == "string"
+
+
 def test_ensure(spark, store):
     assert not store.exists("hf")
     store.ensure("hf", HEADER_FOOTER_SCHEMA)
