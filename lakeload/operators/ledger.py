@@ -71,6 +71,11 @@ def skip_loaded(df: DataFrame, ledger: DataFrame, keys: list[str] = FILE_KEYS) -
     return _match_files(df, _renamed(fresh, keys), keys, "left_semi")
 
 
+def without_files(ledger: DataFrame, files: DataFrame, keys: list[str] = FILE_KEYS) -> DataFrame:
+    """The ledger without some files, as lists of files on both sides."""
+    return ledger.select(*keys).join(_renamed(files, keys), _same_file("", keys), "left_anti")
+
+
 def new_files(
     spark: SparkSession, path: str | list[str], ledger: DataFrame, keys: list[str] = FILE_KEYS
 ) -> DataFrame:

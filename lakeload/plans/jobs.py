@@ -9,8 +9,9 @@ from pyspark.sql.types import StructType
 from lakeload.operators.audit import audit, enforce_thresholds
 from lakeload.operators.cdc import apply_cdc, scd2
 from lakeload.operators.control import header_footer, header_footer_stream
-from lakeload.operators.ledger import file_ledger, new_paths, skip_loaded
+from lakeload.operators.ledger import file_ledger, new_paths, skip_loaded, without_files
 from lakeload.operators.stage import stage, valid_rows
+from lakeload.sinks.scratch import scratch_dir
 from lakeload.sinks.store import RUN, Store
 from lakeload.sources.files import FILE_KEYS
 from lakeload.sources.landing import read_landing, stream_landing
@@ -43,6 +44,24 @@ def loaded_files(store: Store, name: str) -> DataFrame:
     return store.read(ledger).select(*FILE_KEYS)
 
 
+def _seen_by_others(
+    store: Store, name: str, run: str, ledger: DataFrame, keys: list[str]
+) -> DataFrame:
+    """The ledger without the files of one run.
+
+    A micro-batch that runs again after a failure replaces its own earlier rows, so it must bring
+    those files again. As their directory is about to be replaced, the ledger is written out first.
+    """
+    if not store.exists(name):
+        return ledger
+    own = file_ledger(store.read_run(name, run), keys)
+    if own.isEmpty():
+        return ledger
+    path = scratch_dir(store.spark, "ledger")
+    without_files(ledger, own, keys).write.parquet(path)
+    return store.spark.read.parquet(path)
+
+
 def load_raw(
     store: Store,
     name: str,
@@ -58,7 +77,6 @@ def load_raw(
     checkpoint: str | None = None,
     partition_by: dict[str, Column] | None = None,
     cluster_by: list[str] | None = None,
-    run: str | None = None,
     load_date: Column | None = None,
     slice_format: str = "%Y%m%d",
     slice_from: str | None = "file",
@@ -70,7 +88,8 @@ def load_raw(
     The ledger of loaded files follows the raw table's own lineage unless another one is passed,
     so a failure between the load and its audit cannot load a file twice. In batch mode the
     listing is compared with the ledger first and only the new files are read; the name of the run
-    is returned, or None when there was nothing new.
+    is returned, or None when there was nothing new. Should the driver be lost while Spark moves a
+    batch's finished files into place, remove that run's directory before loading again.
     """
     spark = store.spark
 
@@ -87,10 +106,14 @@ def load_raw(
     if mode == "stream":
         if checkpoint is None:
             raise ValueError("a stream load needs a checkpoint directory")
+
+        def unseen(batch: DataFrame, run: str) -> DataFrame:
+            seen = _seen_by_others(store, name, run, ledger, ledger_keys)
+            return skip_loaded(batch, seen, ledger_keys)
+
         rows = staged(stream_landing(spark, path, schema, fmt, options))
-        if ledger is not None:
-            rows = skip_loaded(rows, ledger, ledger_keys)
-        store.append_stream(name, rows, checkpoint, partition_by, cluster_by)
+        prepare = unseen if ledger is not None else None
+        store.append_stream(name, rows, checkpoint, partition_by, cluster_by, prepare=prepare)
         return None
     if mode == "batch":
         paths = new_paths(spark, path, ledger, ledger_keys) if ledger is not None else None
@@ -99,7 +122,7 @@ def load_raw(
         rows = staged(read_landing(spark, path if paths is None else paths, schema, fmt, options))
         if ledger is not None and paths is None:
             rows = skip_loaded(rows, ledger, ledger_keys)
-        return store.append(name, rows, run, partition_by, cluster_by)
+        return store.append(name, rows, None, partition_by, cluster_by)
     raise ValueError(f"mode must be 'batch' or 'stream', got {mode!r}")
 
 

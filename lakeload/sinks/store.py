@@ -8,6 +8,7 @@ the target of Spark's file sink, whose log would hide batch appends from readers
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,12 +112,17 @@ class Store:
         partition_by: dict[str, Column] | None = None,
         cluster_by: list[str] | None = None,
         state_partitions: int | None = None,
+        prepare: Callable[[DataFrame, str], DataFrame] | None = None,
     ) -> None:
-        """Append everything available, one run per micro-batch, and wait for the end."""
+        """Append everything available, one run per micro-batch, and wait for the end.
+
+        ``prepare`` gets each micro-batch and its run, and gives the rows to append.
+        """
 
         def write(batch: DataFrame, batch_id: int) -> None:
             run = f"stream-{query_id(batch)}-{batch_id}"
-            self.append(name, batch, run, partition_by, cluster_by)
+            rows = prepare(batch, run) if prepare else batch
+            self.append(name, rows, run, partition_by, cluster_by)
 
         writer = stream.writeStream.foreachBatch(write)
         run_available(self.spark, writer, checkpoint, state_partitions)

@@ -79,6 +79,19 @@ def test_run_of_a_load_limits_its_audit(store, tmp_path):
         assert rows(audited, "total_count") == [(total,)]
 
 
+def test_replayed_stream_load_keeps_its_rows(store, tmp_path, strategy):
+    """A micro-batch that runs again finds its own files in the ledger and must not drop them."""
+    write_file(tmp_path / "in", TABLE, "20230101")
+    load(store, tmp_path, 1)
+    write_file(tmp_path / "in", TABLE, "20230102")
+    for _ in range(2):
+        load(store, tmp_path, 2, mode="stream", checkpoint=store.path("cp"))
+        assert counts(store) == [(1, f"{TABLE}-20230101.csv", 12), (2, f"{TABLE}-20230102.csv", 14)]
+        assert rows(jobs.loaded_files(store, "raw")) == rows(ledger.file_ledger(store.read("raw")))
+        for commit in (tmp_path / "store" / "cp" / "commits").glob("*0*"):
+            commit.unlink()
+
+
 def test_without_ledger_files_load_again(store, tmp_path):
     write_file(tmp_path / "in", TABLE, "20230101")
     load(store, tmp_path, 1)
