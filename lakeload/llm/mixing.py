@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import levels, repeated, stored, word_count
+from lakeload.llm.common import fresh, levels, repeated, stored, word_count
 
 #: Units in a leaf of the tree on average, and leaves that meet in one node above.
 LEAF, FAN_IN = 4096, 64
@@ -163,21 +163,19 @@ def mix(
 
 def mixed_documents(docs: DataFrame, mixture: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture says; columns as in ``docs``."""
-    keyed = docs.withColumn("_size", word_count(F.col("text")))
+    size, number, copies, again = fresh(docs, "size", "i", "copies", "again")
+    keyed = docs.withColumn(size, word_count(F.col("text")))
     if mixture.filter(F.col("n") > 1).limit(1).count():
-        same = Window.partitionBy("doc_id", "source", "_size").orderBy("text")
-        keyed = keyed.withColumn("_i", F.row_number().over(same) - 1)
+        same = Window.partitionBy("doc_id", "source", size).orderBy("text")
+        keyed = keyed.withColumn(number, F.row_number().over(same) - 1)
     else:
-        keyed = keyed.withColumn("_i", F.lit(0))
-    m = mixture.filter(F.col("copies") > 0).alias("m")
-    d = keyed.alias("d")
-    matched = d.join(
-        m,
-        F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
-        & F.col("d.source").eqNullSafe(F.col("m.source"))
-        & (F.col("d._size") == F.col("m.size"))
-        & (F.col("d._i") == F.col("m.i")),
+        keyed = keyed.withColumn(number, F.lit(0))
+    m = mixture.filter(F.col("copies") > 0)
+    on = (
+        keyed["doc_id"].eqNullSafe(m["doc_id"])
+        & keyed["source"].eqNullSafe(m["source"])
+        & (keyed[size] == m["size"])
+        & (keyed[number] == m["i"])
     )
-    return matched.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("m.copies").alias("_copies")).select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    ).drop("col")
+    matched = keyed.join(m, on).select(*[keyed[c] for c in docs.columns], m["copies"].alias(copies))
+    return matched.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(copies, again)

@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import chat, mixing, rules, sharding
-from lakeload.llm.common import WORD, per_batch, table
+from lakeload.llm import bpe, chat, lm, mixing, neardup, pii, rules, sharding, toxicity, vectors
+from lakeload.llm.common import WORD, per_batch, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +47,26 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _digests(encoder: bpe.Encoder, text: str | None) -> tuple[int, str, str]:
+    ids = encoder.encode(text).tolist()
+    written = " ".join(map(str, ids)).encode()
+    return len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()
+
+
+DIGESTS = {
+    "n_tokens": ("long", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string()),
+}
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query()
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, and their bytes decoded again, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coder = bpe.Bpe(spark, VOCABULARY, public_tokenizers.PATTERN).prepare(docs)
+    return coder.apply(docs, DIGESTS, _digests, ["doc_id"])
+
+
 _OP4 = rf"""
 with d as (
   select row_number() over () as rid, doc_id, coalesce(text, '') as text,
@@ -86,6 +107,43 @@ def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of all documents."""
+    return lm.score(table(spark, sf_dir, "documents"), bpe.load_ranks(VOCABULARY))
+
+
+@query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = (remainder(F.col("doc_id"), 4) == 2).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query()
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on two-word shingles."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Near(words=2))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query()
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs), ["doc_id"])
+    counts = [F.regexp_count("spans", F.lit(rf"(?:^|,){k}:")).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+@query()
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at a cosine of 0.95 or more."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 _PROBE = "</s>[INST] ok [/INST]"
 
 
