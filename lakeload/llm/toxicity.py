@@ -4,7 +4,8 @@ Confirmed toxic examples are the positives; all other text is unlabelled, toxic
 toxic text (the class prior) known, the risk on clean text is the risk on unlabelled text less the toxic part of
 it, and is held at zero or above, so the classifier cannot win by overfitting. The classifier is linear in a
 text's words: each word brings itself and its first letters as features, and a score is the logistic of the
-bias plus the mean weight of the words, so a word's weight is looked up once.
+bias plus the weights of the words by their part of the text, so a word's weight is looked up once. One word
+counts for a bounded part, so that a text repeating it is not judged by it alone.
 
 It is fitted on the driver on bounded, documented samples (``Fit``), chosen by hash; scores cover whole texts of
 all rows in one pass. Null, empty and blank texts score the bias alone. Equal texts get equal scores. Labels
@@ -30,17 +31,19 @@ REMEMBERED = 300_000
 
 @dataclass(frozen=True)
 class Fit:
-    """Most toxic and unlabelled examples, most features, and how to fit."""
+    """Most toxic and unlabelled examples, which features to use, and how to fit."""
 
     positives: int = 3000
-    unlabelled: int = 9000
-    names: int = 20_000
-    least: int = 3  # toxic examples that hold a feature
-    rounds: int = 300
-    rate: float = 0.05
-    decay: float = 1e-5
-    smooth: float = 20.0
+    unlabelled: int = 6000
+    names: int = 20_000  # most features considered
+    least: float = 0.01  # of the toxic examples that hold a feature, and three at least
+    apart: float = 4.0  # standard errors by which toxic examples hold it more often than unlabelled ones
+    rounds: int = 400
+    rate: float = 0.1
+    decay: float = 3e-4
+    smooth: float = 5.0
     scale: float = 100.0
+    most: float = 0.05  # of a text that one word counts for
     threshold: float = 0.3
 
 
@@ -50,6 +53,7 @@ class Model:
     bias: float
     smooth: float
     scale: float
+    most: float
 
     def word(self, word: str) -> float:
         return sum(self.weights.get(f, 0.0) for f in features(word))
@@ -80,7 +84,7 @@ class Shares:
             if w not in self.known:
                 self.known[w] = self._of(w)
             for f in self.known[w]:
-                shares[f] = shares.get(f, 0.0) + n * each
+                shares[f] = shares.get(f, 0.0) + min(n * each, self.how.most)
         return shares
 
 
@@ -109,7 +113,7 @@ def fit(
         step = how.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w, b = w - step[:-1], b - step[-1]
     kept = {f: float(x) for f, x in zip(names, w) if abs(x) > 1e-6}
-    return Model(kept, float(b), how.smooth, how.scale)
+    return Model(kept, float(b), how.smooth, how.scale, how.most)
 
 
 def _named(how: Fit):
@@ -151,16 +155,17 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
     known = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(may)
     prior = min(max(known.agg(F.avg("toxic")).head()[0] or 0.0, 0.01), 0.5)
     toxic = known.filter("toxic = 1").select("doc_id")
-    usable = docs.filter(may).select("doc_id")
+    usable = docs.filter(may).select("doc_id")  # unlabelled text is all of it, toxic or not
     by_hash = (F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id"))
     first = lambda rows, n, kind: rows.orderBy(*by_hash).limit(n).withColumn("toxic", F.lit(kind))
     chosen = first(usable.join(toxic, "doc_id", "left_semi"), how.positives, True).unionByName(
-        first(usable.join(toxic, "doc_id", "left_anti"), how.unlabelled, False)
+        first(usable, how.unlabelled, False)
     )
     # No more ids than asked for above.
     examples = stored(docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id"), "toxicity-examples")
     named = examples.filter("toxic").select("text").mapInArrow(_named(how), "names array<string>")
-    counted = named.select(F.explode("names").alias("name")).groupBy("name").count().filter(F.col("count") >= how.least)
+    least = max(3, how.least * examples.filter("toxic").count())
+    counted = named.select(F.explode("names").alias("name")).groupBy("name").count().filter(F.col("count") >= least)
     names = sorted(r["name"] for r in counted.orderBy(F.desc("count"), "name").limit(how.names).collect())
     numbers = examples.select("toxic", "text").mapInArrow(
         _numbered(how, {n: i for i, n in enumerate(names)}), "toxic boolean, number array<int>, share array<float>"
@@ -168,25 +173,46 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
     rows = numbers.toArrow()
     lengths = rows.column("number").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
     flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    toxic_rows = rows.column("toxic").to_numpy().astype(bool)
-    return fit(np.repeat(np.arange(len(lengths)), lengths), flat("number"), flat("share"), toxic_rows, names, prior, how)
+    row, column, share = np.repeat(np.arange(len(lengths)), lengths), flat("number"), flat("share")
+    kind = rows.column("toxic").to_numpy().astype(bool)
+    used = _apart(row, column, kind, len(names)) > how.apart
+    held = used[column]
+    return fit(row[held], (np.cumsum(used) - 1)[column[held]], share[held], kind, [n for n, u in zip(names, used) if u], prior, how)
+
+
+def _apart(row: np.ndarray, column: np.ndarray, toxic: np.ndarray, names: int) -> np.ndarray:
+    """How much more often toxic examples hold each feature, in standard errors."""
+    pos, neg = max(1, toxic.sum()), max(1, (~toxic).sum())
+    in_toxic = np.bincount(column[toxic[row]], minlength=names)
+    in_rest = np.bincount(column[~toxic[row]], minlength=names)
+    pooled = (in_toxic + in_rest) / (pos + neg)
+    return (in_toxic / pos - in_rest / neg) / np.sqrt(pooled * (1 - pooled) * (1 / pos + 1 / neg) + 1e-12)
+
+
+class Scorer:
+    """Scores of texts under a model; weights of words are remembered up to a bound."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+
+    def __call__(self, text: bytes | None) -> float:
+        words, known = (text or b"").split(), self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        times = Counter(words)
+        for w in times.keys() - known.keys():
+            known[w] = self.model.word(w.decode(errors="replace"))
+        each, most = 1 / (len(words) + self.model.smooth), self.model.most
+        z = sum([known[w] * min(n * each, most) for w, n in times.items()])
+        return float(1 / (1 + np.exp(-np.clip(self.model.bias + self.model.scale * z, -30, 30))))
 
 
 def _scores(model: Model, passed: tuple[str, ...], name: str):
     def make():
-        known: dict[bytes, float] = {}
-
-        def score(text: bytes | None) -> float:
-            words = (text or b"").split()
-            if len(known) > REMEMBERED:
-                known.clear()
-            for w in set(words).difference(known):
-                known[w] = model.word(w.decode(errors="replace"))
-            z = model.bias + model.scale * sum(map(known.__getitem__, words)) / (len(words) + model.smooth)
-            return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        scorer = Scorer(model)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = pa.array([score(t) for t in utf8(batch.column("text"))], pa.float64())
+            found = pa.array([scorer(t) for t in utf8(batch.column("text"))], pa.float64())
             return pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), found], names=[*passed, name])
 
         return each
