@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _encoded(encoder: bpe.Encoder, text: str | None) -> tuple[list[int], int, str, str]:
     ids = encoder.encode(text).tolist()
-    written = " ".join(map(str, ids)).encode()
+    written = encoder.written(ids).encode()
     return ids, len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -27,14 +28,17 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import per_batch, stored
+from lakeload.llm.common import Remembered, per_batch, stored
 
-#: Most words that are broadcast, most bytes in one, and words that a task remembers besides.
-FREQUENT, LONGEST, REMEMBERED = 1 << 18, 48, 300_000
+#: Most words that are broadcast, most bytes in one, and words and stretches that a task remembers besides.
+FREQUENT, LONGEST, REMEMBERED = 1 << 17, 48, 150_000
 #: Maps in the literal of ranks; a rank is sought in one of them.
 MAPS = 1 << 15
 #: Stands for no rank.
 NONE = 1 << 30
+#: A space beside other white space. Where there is none, no match of the pattern reaches over a space from
+#: the left, so the stretches between spaces can be split one by one, each with the space before it.
+_UNEVEN = re.compile(r" \s|\s ")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -146,10 +150,15 @@ def _counted(pattern: str):
     """Words of whole texts with their counts; long ones are left to be folded where they stand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, seen = splitter(pattern).findall, Counter()
+        find, words, stretches = splitter(pattern).findall, Counter(), Counter()
 
         def out() -> pa.RecordBatch:
-            kept = [(w, n) for w, n in seen.items() if len(w) <= LONGEST and len(w.encode()) <= LONGEST]
+            for stretch, n in stretches.items():
+                for w in find(" " + stretch):
+                    words[w] += n
+            kept = [(w, n) for w, n in words.items() if len(w) <= LONGEST and len(w.encode()) <= LONGEST]
+            stretches.clear()
+            words.clear()
             columns = list(zip(*kept)) or [[], []]
             return pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64())], names=["word", "n"]
@@ -157,11 +166,16 @@ def _counted(pattern: str):
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                if text:
-                    seen.update(find(text))
-                    if len(seen) > REMEMBERED:
-                        yield out()
-                        seen.clear()
+                if not text:
+                    continue
+                if _UNEVEN.search(text):
+                    words.update(find(text))
+                else:
+                    first, *rest = text.split(" ")
+                    words.update(find(first))
+                    stretches.update(rest)
+                if len(words) + len(stretches) > REMEMBERED:
+                    yield out()
         yield out()
 
     return run
@@ -185,28 +199,31 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, frequent: dict[str, bytes] | None = None):
         self.ranks, self.find, self.frequent = ranks, splitter(pattern).findall, frequent or {}
-        self.known: dict[str, bytes] = {}
         self.kind = np.uint16 if max(ranks.values()) < 1 << 16 else np.uint32
         self.pieces: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
+        self.names = [str(i) for i in range(len(self.pieces))]
+        word = lambda w: np.array(fold(w.encode(), self.ranks), self.kind).tobytes()
+        self.words = Remembered(word, REMEMBERED, LONGEST)
+        self.stretches = Remembered(lambda s: self._all(self.find(" " + s)), REMEMBERED, LONGEST)
 
-    def word(self, word: str) -> bytes:
-        ids = self.frequent.get(word) or self.known.get(word)
-        if ids is None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            ids = np.array(fold(word.encode(), self.ranks), self.kind).tobytes()
-            if len(word) <= LONGEST:
-                self.known[word] = ids
-        return ids
+    def _all(self, words: list[str]) -> bytes:
+        return b"".join([self.frequent.get(w) or self.words[w] for w in words])
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.word, self.find(text or ""))), self.kind)
+        if not text or _UNEVEN.search(text):
+            return np.frombuffer(self._all(self.find(text or "")), self.kind)
+        first, *rest = text.split(" ")
+        return np.frombuffer(self._all(self.find(first)) + b"".join(map(self.stretches.__getitem__, rest)), self.kind)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
 
+    def written(self, ids: list[int]) -> str:
+        """Decimal ids, one space between."""
+        return " ".join(map(self.names.__getitem__, ids))
+
 
 class Bpe:
     """A vocabulary with the frequent words of a corpus, ready to encode it."""

@@ -69,6 +69,29 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+class Remembered(dict):
+    """A dict that makes what it misses. When full it becomes the older half, from which what is used returns.
+
+    Keys longer than ``longest`` are made each time.
+    """
+
+    def __init__(self, make: Callable, most: int, longest: int):
+        super().__init__()
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def per_batch(
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -49,7 +49,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _digests(encoder: bpe.Encoder, text: str | None) -> tuple[int, str, str]:
     ids = encoder.encode(text).tolist()
-    written = " ".join(map(str, ids)).encode()
+    written = encoder.written(ids).encode()
     return len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()
 
 

@@ -1,0 +1,80 @@
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from lakeload.llm import mixing, pii, toxicity
+from lakeload.llm.bpe import load_ranks
+from lakeload.llm.queries import VOCABULARY
+from llm.helpers import awkward, empty
+from llm.test_neardup import plain
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """What each stage makes of its predecessor's rows, by name, the input first."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out, folder = {"": docs}, tmp_path_factory.mktemp("stages")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).write.parquet(f"{folder}/{name}")
+        out[name] = docs = spark.read.parquet(f"{folder}/{name}")
+    return out
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_toxic_documents_go(spark, stages):
+    docs = stages[""]
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet")))
+    want = {r.doc_id for r in scored.collect() if not r.predicted}
+    assert {r.doc_id for r in stages["toxicity"].collect()} == want and len(want) > 0.8 * docs.count()
+
+
+def test_one_of_each_group_stays(stages):
+    before, after = texts(stages["toxicity"]), texts(stages["near_duplicates"])
+    want = plain(before, 5)
+    assert set(after) == {i for i, (_, c) in want.items() if c == i}
+
+
+def test_personal_data_is_masked(stages):
+    before, after = texts(stages["near_duplicates"]), texts(stages["personal_data"])
+    assert set(before) == set(after)
+    for i, text in before.items():
+        assert not pii.base_spans(after[i])
+        if not pii.windows(text):
+            assert after[i] == text
+        elif spans := pii.base_spans(text):
+            assert all(text[a:b] not in after[i] for _, a, b in spans)
+    assert all(r.n_chars == len(r.text) for r in stages["personal_data"].collect())
+
+
+def test_mix_repeats_rows(stages):
+    copies = {r.doc_id: r.copies for r in mixing.mix(stages["personal_data"]).collect()}
+    got = Counter(r.doc_id for r in stages["mixing"].collect())
+    assert got == Counter({i: n for i, n in copies.items() if n})
+
+
+def test_ids(stages):
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(VOCABULARY), special_tokens={})
+    want = texts(stages["mixing"])
+    rows = stages["encoding"].collect()
+    assert len(rows) == stages["mixing"].count()
+    for r in rows:
+        assert r.ids == coder.encode_ordinary(want[r.doc_id]) and r.n_tokens == len(r.ids)
+
+
+def test_columns_stay_and_awkward_rows_pass(spark, tmp_path):
+    for docs, path in ((awkward(spark, extra=True), "odd"), (empty(spark), "none")):
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, docs, SF).write.parquet(f"{tmp_path}/{path}-{name}")
+            made = spark.read.parquet(f"{tmp_path}/{path}-{name}")
+            if k < len(corpus_pipeline.STAGES) - 1:
+                assert made.columns == docs.columns
+                assert path == "odd" or made.count() == 0
+                docs = made
