@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import fresh, per_batch, remainder, stored, utf8
+from lakeload.llm.common import Remembered, fresh, per_batch, remainder, stored, utf8
 
 
-#: Words whose features or weights a task remembers.
-REMEMBERED = 300_000
+#: Words whose features or weights a task remembers, and most bytes in one.
+REMEMBERED, LONGEST = 150_000, 64
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,8 @@ class Shares:
     """Features of texts by their part of the words; features of words are remembered up to a bound."""
 
     def __init__(self, how: Fit, number: dict[str, int] | None = None):
-        self.how, self.number, self.known = how, number, {}
+        self.how, self.number = how, number
+        self.known = Remembered(self._of, REMEMBERED, LONGEST)
 
     def _of(self, word: bytes) -> list:
         found = features(word.decode(errors="replace"))
@@ -77,12 +78,8 @@ class Shares:
 
     def __call__(self, text: bytes | None) -> dict:
         words, shares = (text or b"").split(), {}
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         each = 1 / (len(words) + self.how.smooth)
         for w, n in Counter(words).items():
-            if w not in self.known:
-                self.known[w] = self._of(w)
             for f in self.known[w]:
                 shares[f] = shares.get(f, 0.0) + min(n * each, self.how.most)
         return shares
@@ -193,17 +190,13 @@ class Scorer:
     """Scores of texts under a model; weights of words are remembered up to a bound."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model = model
+        self.known = Remembered(lambda w: model.word(w.decode(errors="replace")), REMEMBERED, LONGEST)
 
     def __call__(self, text: bytes | None) -> float:
-        words, known = (text or b"").split(), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        times = Counter(words)
-        for w in times.keys() - known.keys():
-            known[w] = self.model.word(w.decode(errors="replace"))
-        each, most = 1 / (len(words) + self.model.smooth), self.model.most
-        z = sum([known[w] * min(n * each, most) for w, n in times.items()])
+        words, known, most = (text or b"").split(), self.known, self.model.most
+        each = 1 / (len(words) + self.model.smooth)
+        z = sum([known[w] * min(n * each, most) for w, n in Counter(words).items()])
         return float(1 / (1 + np.exp(-np.clip(self.model.bias + self.model.scale * z, -30, 30))))
 
 
