@@ -42,10 +42,11 @@ def _footer_side(raw: DataFrame, process_id: int | None, keep: list[str]) -> Dat
     return footer.select("footer", "raw_footer", *(F.col(c).alias(f"_f_{c}") for c in keep))
 
 
-def _matches() -> Column:
+def _matches(nulls_match: bool = False) -> Column:
     condition = F.lit(True)
     for c in _MATCH:
-        condition = condition & (F.col(c) == F.col(f"_f_{c}"))
+        same = F.col(c).eqNullSafe(F.col(f"_f_{c}")) if nulls_match else F.col(c) == F.col(f"_f_{c}")
+        condition = condition & same
     return condition
 
 
@@ -53,14 +54,14 @@ def header_footer(raw: DataFrame, process_id: int | None = None, how: str = "inn
     """Match the header and footer of each file.
 
     ``inner`` keeps complete files only; ``full`` also shows files whose header or footer is
-    missing, with nulls on that side.
+    missing, with nulls on that side; there a file without a slice date is a file like any other.
     """
     if how not in ("inner", "full"):
         raise ValueError(f"how must be 'inner' or 'full', got {how!r}")
     shared = _FILE_COLUMNS + _SYSTEM_COLUMNS
     header = parse_control(raw, "header", process_id)
     footer = _footer_side(raw, process_id, shared)
-    joined = header.join(footer, _matches(), how)
+    joined = header.join(footer, _matches(nulls_match=how == "full"), how)
     return joined.select(
         "header", "raw_header", "footer", "raw_footer",
         *(F.coalesce(c, f"_f_{c}").alias(c) if how == "full" else F.col(c) for c in shared),

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.sources.files import FILE_KEYS, list_files
+from lakeload.sources.files import FILE_KEYS, as_written, list_files
 
 # A ledger up to this many files is broadcast (about 50 MB of paths); a longer one is shuffled.
 BROADCAST_FILES = 200_000
-# Up to this many new files are read by name; beyond it the whole path is read and anti-joined.
-LISTED_FILES = 10_000
+# New files are read by name, this many in a run at most; more files are more runs.
+FILES_PER_RUN = 10_000
 # Tasks that share the rows of one file when the list of files is too long to broadcast.
 SALTS = 64
 
@@ -77,24 +79,19 @@ def without_files(ledger: DataFrame, files: DataFrame, keys: list[str] = FILE_KE
 
 
 def new_files(
-    spark: SparkSession, path: str | list[str], ledger: DataFrame, keys: list[str] = FILE_KEYS
+    spark: SparkSession, path: str | list[str], ledger: DataFrame | None, keys: list[str] = FILE_KEYS
 ) -> DataFrame:
     """Listed files that the ledger does not hold; no file is opened."""
-    return list_files(spark, path).join(
-        _renamed(ledger, keys), _same_file("", keys), "left_anti"
-    )
+    listed = list_files(spark, path)
+    if ledger is None:
+        return listed
+    return listed.join(_renamed(ledger, keys), _same_file("", keys), "left_anti")
 
 
 def new_paths(
-    spark: SparkSession, path: str | list[str], ledger: DataFrame, keys: list[str] = FILE_KEYS
-) -> list[str] | None:
-    """Names of the new files when they are few, so old files need not be read at all.
-
-    None means too many (or names with glob characters): read the whole path and use
-    ``skip_loaded``, which gives the same rows.
-    """
-    rows = new_files(spark, path, ledger, keys).select("file_path").limit(LISTED_FILES + 1).collect()
-    paths = [r.file_path for r in rows]
-    if len(paths) > LISTED_FILES or any(c in p for p in paths for c in "*?[]{}\\"):
-        return None
-    return paths
+    spark: SparkSession, path: str | list[str], ledger: DataFrame | None, keys: list[str] = FILE_KEYS
+) -> Iterator[list[str]]:
+    """Names of the new files in order, in groups of ``FILES_PER_RUN`` at most; all of them, however many."""
+    names = new_files(spark, path, ledger, keys).select("path").orderBy("path").toLocalIterator()
+    while group := [as_written(r.path) for r in islice(names, FILES_PER_RUN)]:
+        yield group

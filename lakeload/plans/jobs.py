@@ -13,35 +13,41 @@ from lakeload.operators.ledger import file_ledger, new_paths, skip_loaded, witho
 from lakeload.operators.stage import stage, valid_rows
 from lakeload.sinks.scratch import scratch_dir
 from lakeload.sinks.store import RUN, Store
-from lakeload.sources.files import FILE_KEYS
+from lakeload.sources.files import FILE_KEYS, same_reading
 from lakeload.sources.landing import read_landing, stream_landing
 from lakeload.sources.schema import AUDIT_SCHEMA, CONTROL_AUDIT_SCHEMA, HEADER_FOOTER_SCHEMA
 
 
-# Up to this many runs are told apart by name; beyond it the ledger comes from all of raw.
-LISTED_RUNS = 10_000
-
-
 def loaded_files(store: Store, name: str) -> DataFrame:
     """The files a raw table holds, kept in the table ``<name>_files``.
 
     Before it is used the ledger catches up with runs it does not know yet, reading the lineage of
     those runs only. So it never misses a finished load, wherever an earlier job stopped, and each
-    run is scanned for its files once. One job at a time may load a table.
+    run is scanned for its files once. What was written of the ledger counts only if all of it is there:
+    ``<name>_files_done`` holds how many rows each part has. One job at a time may load a table.
     """
-    ledger = f"{name}_files"
+    ledger, done = f"{name}_files", f"{name}_files_done"
     raw = store.read_with_runs(name)
     lineage = raw.select(*(F.col(f"_metadata.{k}").alias(k) for k in FILE_KEYS), F.col(RUN).alias("run"))
-    known = []
-    if store.exists(ledger):
-        runs = store.read(ledger).select("run").distinct().limit(LISTED_RUNS + 1)
-        known = [r.run for r in runs.collect()]
-    if len(known) > LISTED_RUNS:
-        return file_ledger(store.read(name))
-    new = lineage.where(~F.col("run").isin(known)) if known else lineage
-    if not (known and new.isEmpty()):
-        store.append(ledger, new.distinct())
-    return store.read(ledger).select(*FILE_KEYS)
+    complete = _complete(store, ledger, done)
+    if complete is not None:
+        lineage = lineage.join(complete.select("run").distinct(), "run", "left_anti")
+    if complete is None or not lineage.isEmpty():
+        part = store.append(ledger, lineage.select(*FILE_KEYS, "run").distinct())
+        held = store.read_run(ledger, part).count()
+        store.append(done, store.spark.createDataFrame([(part, held)], "part string, held long"))
+        complete = _complete(store, ledger, done)
+    return complete.select(*FILE_KEYS)
+
+
+def _complete(store: Store, ledger: str, done: str) -> DataFrame | None:
+    """The rows of the finished parts of a ledger; None before the first."""
+    if not (store.exists(ledger) and store.exists(done)):
+        return None
+    rows = store.read_with_runs(ledger)
+    found = rows.groupBy(F.col(RUN).alias("part")).agg(F.count(F.lit(1)).alias("held"))
+    finished = found.join(store.read(done).distinct(), ["part", "held"])
+    return rows.join(finished.select(F.col("part").alias(RUN)), RUN, "left_semi")
 
 
 def _seen_by_others(
@@ -82,13 +88,14 @@ def load_raw(
     slice_from: str | None = "file",
     validity: bool = True,
     meta_first: bool = False,
-) -> str | None:
+) -> str | list[str] | None:
     """Load landing files into a raw table, leaving out files it already holds.
 
     The ledger of loaded files follows the raw table's own lineage unless another one is passed,
     so a failure between the load and its audit cannot load a file twice. In batch mode the
-    listing is compared with the ledger first and only the new files are read; the name of the run
-    is returned, or None when there was nothing new. Should the driver be lost while Spark moves a
+    listing is compared with the ledger first and only the new files are read, the first time as later; the
+    name of the run is returned, or a list of them when there were very many files, or None when there was
+    nothing new. Should the driver be lost while Spark moves a
     batch's finished files into place, remove that run's directory before loading again.
     """
     spark = store.spark
@@ -111,18 +118,17 @@ def load_raw(
             seen = _seen_by_others(store, name, run, ledger, ledger_keys)
             return skip_loaded(batch, seen, ledger_keys)
 
-        rows = staged(stream_landing(spark, path, schema, fmt, options))
+        how = {**same_reading(path), **(options or {})}
+        rows = staged(stream_landing(spark, path, schema, fmt, how))
         prepare = unseen if ledger is not None else None
         store.append_stream(name, rows, checkpoint, partition_by, cluster_by, prepare=prepare)
         return None
     if mode == "batch":
-        paths = new_paths(spark, path, ledger, ledger_keys) if ledger is not None else None
-        if paths == []:
-            return None
-        rows = staged(read_landing(spark, path if paths is None else paths, schema, fmt, options))
-        if ledger is not None and paths is None:
-            rows = skip_loaded(rows, ledger, ledger_keys)
-        return store.append(name, rows, None, partition_by, cluster_by)
+        runs = []
+        for paths in new_paths(spark, path, ledger, ledger_keys):
+            rows = read_landing(spark, paths, schema, fmt, {**same_reading(path, paths), **(options or {})})
+            runs.append(store.append(name, staged(rows), None, partition_by, cluster_by))
+        return runs if len(runs) > 1 else runs[0] if runs else None
     raise ValueError(f"mode must be 'batch' or 'stream', got {mode!r}")
 
 
@@ -133,20 +139,19 @@ def copy_into(
     schema: StructType | str,
     fmt: str = "csv",
     options: dict | None = None,
+    ledger_keys: list[str] = FILE_KEYS,
 ) -> None:
-    """Idempotent load of files as they are, with their ``_metadata``; known files are skipped."""
+    """Idempotent load of files as they are, with their ``_metadata``; known files are skipped.
+
+    Columns that later files add are added to the table.
+    """
     ledger = loaded_files(store, name) if store.exists(name) else None
-    paths = None if ledger is None else new_paths(store.spark, path, ledger)
-    if paths == []:
-        return
-    rows = read_landing(store.spark, path if paths is None else paths, schema, fmt, options)
-    rows = rows.select("*", "_metadata")
-    if ledger is not None and paths is None:
-        rows = skip_loaded(rows, ledger)
-    store.append(name, rows)
+    for paths in new_paths(store.spark, path, ledger, ledger_keys):
+        rows = read_landing(store.spark, paths, schema, fmt, {**same_reading(path, paths), **(options or {})})
+        store.append(name, rows.select("*", "_metadata"))
 
 
-def _loaded(store: Store, raw: str, run: str | None) -> DataFrame:
+def _loaded(store: Store, raw: str, run: str | list[str] | None) -> DataFrame:
     return store.read(raw) if run is None else store.read_run(raw, run)
 
 
@@ -160,7 +165,7 @@ def load_header_footer(
     watermark: str | None = None,
     run: str | None = None,
     state_partitions: int | None = None,
-    raw_run: str | None = None,
+    raw_run: str | list[str] | None = None,
 ) -> None:
     """Extract the control records of a loaded process (batch) or of all new rows (stream).
 
@@ -169,7 +174,7 @@ def load_header_footer(
     """
     store.ensure(name, HEADER_FOOTER_SCHEMA)
     if mode == "stream":
-        rows = store.read_stream(raw, store.read(raw).schema)
+        rows = store.read_stream(raw)
         matched = header_footer_stream(rows, watermark)
         store.append_stream(name, matched, checkpoint, state_partitions=state_partitions)
     else:
@@ -188,7 +193,8 @@ def load_audit(
     header_footer_table: str | None = None,
     run: str | None = None,
     enforce: bool = False,
-    raw_run: str | None = None,
+    grain: str = "file",
+    raw_run: str | list[str] | None = None,
 ) -> DataFrame:
     """Append the audit of one process and return its rows.
 
@@ -198,7 +204,7 @@ def load_audit(
     control = store.read(header_footer_table) if header_footer_table else None
     store.ensure(name, CONTROL_AUDIT_SCHEMA if control is not None else AUDIT_SCHEMA)
     loaded = _loaded(store, raw, raw_run)
-    rows = audit(loaded, process_id, source, target, warning, exception, control)
+    rows = audit(loaded, process_id, source, target, warning, exception, control, grain=grain)
     stored = store.read_run(name, store.append(name, rows, run))
     if enforce:
         enforce_thresholds(stored)
@@ -217,8 +223,15 @@ def create_control_tables(
 
 
 def load_base(store: Store, raw: str, base: str) -> None:
-    """The base table as the valid rows of raw."""
-    store.replace(base, valid_rows(store.read(raw)))
+    """The base table as the valid rows of raw; only runs that it has not taken are read.
+
+    Each run of raw is a run of base, so a load that stopped is made good by the next one.
+    """
+    rows = store.read_with_runs(raw)
+    if store.exists(base):
+        taken = store.read_with_runs(base).select(RUN).distinct()
+        rows = rows.join(taken, RUN, "left_anti")
+    store.append_derived(base, valid_rows(rows))
 
 
 def _change_rows(store: Store, raw: str, used: list[str]) -> tuple[DataFrame, list[str]]:

@@ -3,17 +3,23 @@
 Each append goes to its own ``_load=<run>`` partition. Repeating a run replaces exactly that
 partition, so a retried batch or a replayed micro-batch never doubles rows, and no directory is
 the target of Spark's file sink, whose log would hide batch appends from readers.
+
+A table keeps its schema beside its runs, in ``_schema/version=<n>``: the columns of all runs, merged by name
+before a run with new ones is written. Every read uses it, so which columns a table has never depends on the
+names or the order of its runs, and no file is opened for it. The same record names the runs that count, if
+not all do, which makes a replacement visible at once or not at all. One job at a time may write a table.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeload.sinks.layout import cluster
 from lakeload.streaming.run import query_id, run_available
@@ -21,6 +27,18 @@ from lakeload.streaming.run import query_id, run_available
 RUN = "_load"
 
 
+def merged_schema(old: StructType, new: StructType) -> StructType:
+    """The columns of both, the old ones first; one name must have one type."""
+    known = {f.name: f for f in old.fields}
+    for f in new.fields:
+        if f.name in known and known[f.name].dataType.simpleString() != f.dataType.simpleString():
+            raise ValueError(
+                f"column {f.name} is {known[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}"
+            )
+    every = [*old.fields, *(f for f in new.fields if f.name not in known)]
+    return StructType([StructField(f.name, f.dataType, True) for f in every])
+
+
 def run_name(run: str | None) -> str:
     """A run's directory name; it starts with a letter, so Spark reads it back as text."""
     run = run or uuid.uuid4().hex
@@ -36,15 +54,47 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def exists(self, name: str) -> bool:
+    def _load(self, reader, path: str, *absent: str) -> DataFrame | None:
+        """What a reader finds at a path, or None if nothing is there."""
         try:
-            return bool(self.spark.read.format(self.fmt).load(self.path(name)).columns)
-        except AnalysisException:
-            return False
+            return reader.load(path)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", *absent):
+                return None
+            raise
+
+    def read_files(self, name: str, fmt: str | None = None) -> DataFrame | None:
+        """Files below the root that are not a table of runs; None if there are none."""
+        return self._load(self.spark.read.format(fmt or self.fmt), self.path(name), "UNABLE_TO_INFER_SCHEMA")
+
+    def _record(self, name: str) -> tuple[int, dict] | None:
+        """The newest version and what it says: ``schema``, and ``runs`` that count (None for all)."""
+        records = self._load(self.spark.read.format("text"), f"{self.path(name)}/_schema", "UNABLE_TO_INFER_SCHEMA")
+        if records is None or "version" not in records.columns:
+            return None
+        newest = records.orderBy(F.desc("version")).limit(1).collect()
+        return (newest[0]["version"], json.loads(newest[0]["value"])) if newest else None
+
+    def _keep(self, name: str, version: int, schema: StructType, runs: list[str] | None, before: list[str] | None = None) -> None:
+        line = json.dumps({"schema": schema.jsonValue(), "runs": runs, "before": before})
+        df = self.spark.createDataFrame([(line,)], "value string").coalesce(1)
+        df.write.mode("overwrite").text(f"{self.path(name)}/_schema/version={version}")
+
+    def schema(self, name: str) -> StructType | None:
+        """The columns of a table, or None if there is no such table."""
+        if record := self._record(name):
+            return StructType.fromJson(record[1]["schema"])
+        reader = self.spark.read.format(self.fmt).option("mergeSchema", "true")
+        found = self._load(reader, self.path(name), "UNABLE_TO_INFER_SCHEMA")
+        return found.drop(RUN).schema if found is not None else None
+
+    def exists(self, name: str) -> bool:
+        return self.schema(name) is not None
 
     def ensure(self, name: str, schema: StructType) -> None:
         """Create an empty table with this schema unless the table exists."""
         if not self.exists(name):
+            self._keep(name, 1, schema, None)
             empty = self.spark.createDataFrame([], schema)
             empty.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}=created")
 
@@ -72,35 +122,69 @@ class Store:
             df = cluster(df, [*parts, *order])
         elif parts:
             df = df.hint("rebalance", *(F.col(c) for c in parts))
+        self._admit(name, df.schema)
         target = f"{self.path(name)}/{RUN}={run}"
         df.write.format(self.fmt).mode("overwrite").partitionBy(*parts).save(target)
+        record = self._record(name)
+        if record and record[1]["runs"] is not None and run not in record[1]["runs"]:
+            version, kept = record
+            self._keep(name, version + 1, StructType.fromJson(kept["schema"]), [*kept["runs"], run], kept["before"])
         return run
 
+    def _admit(self, name: str, new: StructType) -> None:
+        """Add the columns of a run to the table's schema, before its rows are written."""
+        record, old = self._record(name), self.schema(name)
+        schema = merged_schema(old or StructType(), new)
+        if record is None:
+            self._keep(name, 1, schema, None)
+        elif schema.jsonValue() != old.jsonValue():
+            self._keep(name, record[0] + 1, schema, record[1]["runs"], record[1]["before"])
+
     def replace(self, name: str, df: DataFrame) -> None:
-        """Write a derived table anew; ``df`` must not read the table it replaces."""
-        df.write.format(self.fmt).mode("overwrite").save(self.path(name))
-
-    def read(
-        self, name: str, schema: StructType | None = None, merge_schema: bool = False
-    ) -> DataFrame:
-        """The whole table. ``merge_schema`` unites the columns of all runs from the file footers;
-        passing the schema gives the same without opening them."""
-        reader = self.spark.read.format(self.fmt).option("mergeSchema", str(merge_schema).lower())
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.load(self.path(name)).drop(RUN)
+        """Write a derived table anew. Readers see the old rows until all new ones are there.
 
-    def read_with_runs(self, name: str) -> DataFrame:
+        The rows replaced are kept until the next replacement, for readers at work.
+        """
+        record, run = self._record(name), run_name(None)
+        version, kept = record or (0, {"runs": None, "before": None})
+        df.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}={run}")
+        self._keep(name, version + 1, df.schema, [run], kept["runs"])
+        for old in kept["before"] or []:
+            empty = self.spark.createDataFrame([], df.schema)
+            empty.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}={old}")
+
+    def append_derived(self, name: str, df: DataFrame) -> None:
+        """Append rows that carry their run in ``_load``; runs that are there are replaced."""
+        self._admit(name, df.drop(RUN).schema)
+        df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).save(
+            self.path(name)
+        )
+
+    def read(self, name: str, schema: StructType | None = None) -> DataFrame:
+        """The whole table with the columns of all its runs, or those of ``schema``."""
+        return self.read_with_runs(name, schema).drop(RUN)
+
+    def read_with_runs(self, name: str, schema: StructType | None = None) -> DataFrame:
         """The whole table with its run in ``_load``; conditions on it choose directories."""
-        return self.spark.read.format(self.fmt).load(self.path(name))
-
-    def read_run(self, name: str, run: str) -> DataFrame:
-        """The rows of one run; files of other runs are not opened."""
-        return self.read_with_runs(name).where(F.col(RUN) == run_name(run)).drop(RUN)
-
-    def read_stream(self, name: str, schema: StructType, **options: str) -> DataFrame:
+        record, reader = self._record(name), self.spark.read.format(self.fmt)
+        if schema is None and record:
+            schema = StructType.fromJson(record[1]["schema"])
+        if schema is not None:
+            reader = reader.schema(StructType([*schema.fields, StructField(RUN, StringType())]))
+        else:
+            reader = reader.option("mergeSchema", "true")
+        rows = reader.load(self.path(name))
+        return rows if not record or record[1]["runs"] is None else rows.where(F.col(RUN).isin(record[1]["runs"]))
+
+    def read_run(self, name: str, run: str | list[str]) -> DataFrame:
+        """The rows of one run, or of some; files of other runs are not opened."""
+        runs = [run_name(r) for r in ([run] if isinstance(run, str) else run)]
+        return self.read_with_runs(name).where(F.col(RUN).isin(runs)).drop(RUN)
+
+    def read_stream(self, name: str, schema: StructType | None = None, **options: str) -> DataFrame:
         """Rows appended since the checkpoint: on an append-only table these are its inserts."""
-        full = schema if RUN in schema.fieldNames() else schema.add(RUN, StringType())
+        schema = schema or self.schema(name)
+        full = schema if RUN in schema.fieldNames() else StructType([*schema.fields, StructField(RUN, StringType())])
         reader = self.spark.readStream.schema(full).format(self.fmt).options(**options)
         return reader.load(self.path(name)).drop(RUN)
 
@@ -116,13 +200,19 @@ class Store:
     ) -> None:
         """Append everything available, one run per micro-batch, and wait for the end.
 
-        ``prepare`` gets each micro-batch and its run, and gives the rows to append.
+        ``prepare`` gets each micro-batch and its run, and gives the rows to append. A micro-batch that comes
+        again after its run was finished is left out, so its files stay and no reader sees them twice.
         """
 
         def write(batch: DataFrame, batch_id: int) -> None:
             run = f"stream-{query_id(batch)}-{batch_id}"
+            done = f"{self.path(name)}/_done/{RUN}={run}"
+            finished = self._load(self.spark.read.format("text"), done)
+            if finished is not None and not finished.isEmpty():
+                return
             rows = prepare(batch, run) if prepare else batch
             self.append(name, rows, run, partition_by, cluster_by)
+            self.spark.createDataFrame([("done",)], "value string").coalesce(1).write.mode("overwrite").text(done)
 
         writer = stream.writeStream.foreachBatch(write)
         run_available(self.spark, writer, checkpoint, state_partitions)

@@ -2,21 +2,60 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.functions.dates import directory_slice_date, slice_date_from
+from lakeload.sinks.scratch import scratch_dir
 
 # The columns that identify a loaded file.
 FILE_KEYS = ["file_path", "file_name", "file_size", "file_modification_time"]
 
 
+_LISTED = "file_path string, file_name string, file_size long, file_modification_time timestamp, path string"
+
+
 def list_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
-    """One row per file that is not empty: path, name, size and modification time."""
-    reader = spark.read.format("binaryFile")
+    """One row per file that is not empty: path, name, size and modification time, and ``path`` as it is
+    written (``file_path`` is encoded like an address).
+
+    The listing is one job with a task per core, however many bytes the files hold, and is kept in the scratch
+    folder, so that what was listed stays the same while it is used.
+    """
+    # A session of its own: tasks over files are cut by bytes, and names have none.
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    reader = listing.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select(*(f"_metadata.{k}" for k in FILE_KEYS))
+    if not _has_glob(path):
+        reader = reader.option("recursiveFileLookup", "true")
+    target = scratch_dir(spark, "listing")
+    reader.load(path).select(*(f"_metadata.{k}" for k in FILE_KEYS), "path").write.parquet(target)
+    return spark.read.schema(_LISTED).parquet(target)
+
+
+def _has_glob(path: str | list[str]) -> bool:
+    return any(c in p for p in ([path] if isinstance(path, str) else path) for c in "*?[]{}")
+
+
+def same_reading(path: str | list[str], names: list[str] | None = None) -> dict[str, str]:
+    """Reader options under which some files, read by name, have the columns that the whole path has.
+
+    Below a plain directory the folders ``key=value`` are columns; where a path has glob characters they are
+    not, and folders below what it matches are searched. Without names the options are for the path itself.
+    """
+    if _has_glob(path) or not isinstance(path, str):
+        return {"recursiveFileLookup": "true"}
+    one_file = not names or any(n.endswith(path) for n in names)
+    return {} if one_file else {"basePath": path}
+
+
+def as_written(path: str) -> str:
+    """A file name in which no character has a meaning to a reader."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
 
 
 def ready_slices(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -29,6 +31,9 @@ _BUILT_IN_ENCODINGS = {
 _JAVA_CHARSETS = "spark.sql.legacy.javaCharsets"
 
 
+_REPLACED = re.compile(r"\{\{\s*table\.replace\(\s*'([^']*)'\s*,\s*'([^']*)'\s*\)\s*\}\}")
+
+
 def landing_glob(
     template: str,
     table: str,
@@ -36,8 +41,12 @@ def landing_glob(
     path_date_format: str = "%Y%m%d",
     filename_date_format: str = "%Y%m%d",
 ) -> str:
-    """Fill ``{{table}}``, ``{{path_date_format}}`` and ``{{filename_date_format}}`` in a path."""
+    """Fill ``{{table}}``, ``{{path_date_format}}`` and ``{{filename_date_format}}`` in a path.
+
+    ``{{table.replace('a','b')}}`` is the table's name with one string for another.
+    """
     chosen = Timeslice.parse(timeslice) if isinstance(timeslice, str) else timeslice
+    template = _REPLACED.sub(lambda m: table.replace(m[1], m[2]), template)
     return (
         template.replace("{{table}}", table)
         .replace("{{path_date_format}}", chosen.to_glob(path_date_format))

@@ -178,3 +178,20 @@ def test_table_thresholds_win():
 def test_unknown_threshold(spark):
     with pytest.raises(ValueError, match="bad_rows"):
         thresholds_struct({"bad_rows": 1})
+
+
+def test_full_match_of_a_file_without_a_date(store, tmp_path):
+    """Both records of a file whose name has no date are one row of the full match."""
+    (tmp_path / "plain.csv").write_bytes(b'"H",1,20230101000000,b\r\n"I",1\r\n"F",plain,20230101000000\r\n')
+    schema = "flag string, a long, b long, c long, d long"
+    load_raw(store, "raw", str(tmp_path / "plain.csv"), schema, 1, options=CONTROL_CSV)
+    full = header_footer(store.read("raw"), 1, how="full")
+    assert [(r.raw_header is None, r.raw_footer is None) for r in full.collect()] == [(False, False)]
+    assert header_footer(store.read("raw"), 1).count() == 0
+
+
+def test_audit_by_block_from_the_job(store, tmp_path):
+    load(store, tmp_path, TABLES[0])
+    audited = load_audit(store, TABLES[0], "audit", 1, ("landing", "x"), ("raw", "x"), grain="block")
+    assert audited.where("file_block_length is null").count() == 0
+    assert sum(r.total_count for r in audited.collect()) == store.read(TABLES[0]).count()

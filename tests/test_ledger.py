@@ -11,11 +11,11 @@ from lakeload.sources import CONTROL_CSV
 TABLE = "customer_details_1"
 
 
-@pytest.fixture(params=["listed", "row by row", "salted"])
+@pytest.fixture(params=["listed", "one by one", "salted"])
 def strategy(request, monkeypatch):
     """Every way of leaving out loaded files must give the same rows."""
     if request.param != "listed":
-        monkeypatch.setattr(ledger, "LISTED_FILES", 0)
+        monkeypatch.setattr(ledger, "FILES_PER_RUN", 1)
     if request.param == "salted":
         monkeypatch.setattr(ledger, "BROADCAST_FILES", 0)
     return request.param
@@ -44,7 +44,7 @@ def test_rerun_adds_only_new_files(store, tmp_path, strategy):
 
 
 def test_kept_ledger_follows_the_lineage(spark, store, tmp_path, monkeypatch):
-    """Runs the ledger does not know are caught up, each once; too many runs use all of raw."""
+    """Runs the ledger does not know are caught up, each once."""
     for day in ("20230101", "20230102", "20230103"):
         write_file(tmp_path / "in", TABLE, day)
         load(store, tmp_path, 1)
@@ -52,8 +52,7 @@ def test_kept_ledger_follows_the_lineage(spark, store, tmp_path, monkeypatch):
     whole = rows(ledger.file_ledger(store.read("raw")))
     assert rows(jobs.loaded_files(store, "raw")) == whole
     assert len(whole) == 3 and store.read("raw_files").count() == 3
-    monkeypatch.setattr(jobs, "LISTED_RUNS", 1)
-    assert rows(jobs.loaded_files(store, "raw")) == whole
+    assert rows(jobs.loaded_files(store, "raw")) == whole and store.read("raw_files").count() == 3
 
 
 def test_only_new_runs_are_scanned_for_their_files(spark, store, tmp_path):
@@ -122,3 +121,52 @@ def test_copy_into(store, tmp_path, strategy):
         assert store.read("copied").count() == total
     assert "_metadata" in store.read("copied").columns
     assert store.read("copied").select("_metadata.file_name").distinct().count() == 2
+
+
+@pytest.mark.parametrize("folder", ["a b c", "p%d", "[x]", "day=2024-01-01", "{y},z"])
+def test_names_are_read_as_written(spark, store, tmp_path, folder):
+    """The first load and a later one read alike: same columns, each file once."""
+    for step, n in (("1", 3), ("2", 5)):
+        place = tmp_path / "in" / folder
+        place.mkdir(parents=True, exist_ok=True)
+        (place / f"{folder.replace('/', '')} {step}-20240101.csv").write_text("".join(f"{i}\n" for i in range(n)))
+        load_raw(store, "raw", str(tmp_path / "in"), "id long", int(step), slice_from=None)
+        load_raw(store, "raw", str(tmp_path / "in"), "id long", int(step), slice_from=None)
+    raw = store.read("raw")
+    assert rows(raw.groupBy("_process_id").count()) == [(1, 3), (2, 5)]
+    assert ("day" in raw.columns) == folder.startswith("day=")
+    assert not folder.startswith("day=") or raw.where("day is null").count() == 0
+
+
+def test_half_a_ledger_is_made_good(spark, store, tmp_path):
+    for day in ("20230101", "20230102", "20230103"):
+        write_file(tmp_path / "in", TABLE, day)
+    load(store, tmp_path, 1)
+    total = store.read("raw").count()
+    assert load(store, tmp_path, 2) is None
+    parts = sorted((tmp_path / "store" / "raw_files").glob("_load=*/part-*"))
+    parts[0].unlink()
+    assert load(store, tmp_path, 3) is None
+    assert store.read("raw").count() == total and jobs.loaded_files(store, "raw").distinct().count() == 3
+
+
+def test_replay_is_no_second_insert(spark, store, tmp_path):
+    """A raw micro-batch that runs again leaves its files, so a stream that has read them sees nothing new."""
+    write_file(tmp_path / "in", TABLE, "20230101")
+    for _ in range(2):
+        load(store, tmp_path, 1, mode="stream", checkpoint=store.path("cp"))
+        jobs.load_header_footer(store, "raw", "hf", 1, mode="stream", checkpoint=store.path("cp-hf"))
+        assert store.read("hf").count() == 1
+        for commit in (tmp_path / "store" / "cp" / "commits").glob("*0*"):
+            commit.unlink()
+
+
+def test_listing_tasks_do_not_follow_bytes(spark, tmp_path):
+    from lakeload.sources.files import list_files
+
+    for i in range(40):
+        (tmp_path / f"f{i}.csv").write_bytes(b"x" * 1_000_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    listed = list_files(spark, str(tmp_path))
+    assert listed.count() == 40 and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert len(listed.inputFiles()) <= spark.sparkContext.defaultParallelism + 1

@@ -108,3 +108,8 @@ def test_ready_slices(spark, tmp_path):
     (tmp_path / "other.txt").write_text("")
     assert rows(ready_slices(spark, str(tmp_path))) == [(dt.datetime(2023, 1, 2),)]
     assert rows(ready_slices(spark, str(tmp_path), "*.none")) == []
+
+
+def test_table_name_with_replacements():
+    template = "/in/{{ table.replace('_', '-') }}/{{table}}.csv"
+    assert landing_glob(template, "a_b_c") == "/in/a-b-c/a_b_c.csv"

@@ -47,7 +47,7 @@ def test_schema_evolution(spark, store):
     store.append("t", spark.range(2))
     wider = spark.range(2).withColumn("x", F.lit("new"))
     store.append("t", wider)
-    merged = store.read("t", merge_schema=True)
+    merged = store.read("t")
     assert rows(merged) == [(0, "new"), (0, None), (1, "new"), (1, None)]
     assert rows(store.read("t", schema=wider.schema)) == rows(merged)
 
@@ -182,3 +182,42 @@ def test_other_format(spark, tmp_path):
     orc = Store(spark, str(tmp_path), "orc")
     orc.append("t", spark.range(4))
     assert orc.read("t").count() == 4
+
+
+@pytest.mark.parametrize("names", [("a", "b"), ("b", "a")])
+def test_columns_do_not_depend_on_run_names(spark, store, names):
+    """A narrow and a wide run give the same columns to raw and base in either order of their names."""
+    store.append("raw", spark.range(2).withColumn("_is_valid", F.lit(True)), names[0])
+    load_base(store, "raw", "base")
+    wide = spark.range(2, 4).withColumns({"x": F.lit("new"), "_is_valid": F.col("id") > 2})
+    store.append("raw", wide, names[1])
+    load_base(store, "raw", "base")
+    load_base(store, "raw", "base")
+    assert set(store.read("raw").columns) == {"id", "x", "_is_valid"}
+    assert rows(store.read("base"), "id", "x") == [(0, None), (1, None), (3, "new")]
+    assert store.read_run("raw", names[0]).columns == store.read("raw").columns
+    with pytest.raises(ValueError, match="column id is bigint"):
+        store.append("raw", spark.range(1).selectExpr("string(id) as id"))
+
+
+def test_failed_replace_leaves_the_old_rows(spark, store):
+    for n in (3, 5, 7):
+        store.replace("t", spark.range(n))
+        assert store.read("t").count() == n
+    broken = spark.range(4).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        store.replace("t", broken)
+    assert store.read("t").count() == 7
+    store.replace("t", store.read("t").where("id > 1"))
+    store.append("t", spark.range(1))
+    assert store.read("t").count() == 6
+
+
+def test_other_errors_are_not_a_missing_table(spark, store, tmp_path):
+    assert not store.exists("t")
+    store.append("t", spark.range(1))
+    assert store.exists("t")
+    (tmp_path / "store" / "u").mkdir()
+    (tmp_path / "store" / "u" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="x.parquet"):
+        store.exists("u")

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -52,6 +53,19 @@ def test_untouched_buckets_are_not_rewritten(spark, store):
     assert len({b for b, _ in stamps[1] - kept}) == 1
 
 
+def test_another_number_of_buckets_is_refused(spark, store):
+    events = spark.read.parquet(f"{SF}/events.parquet").select("user_id", "ts", "event_id", "event_type")
+    events.write.parquet(store.path("changes"))
+
+    def run(buckets):
+        stream = spark.readStream.schema(events.schema).parquet(store.path("changes"))
+        stream_scd2(store, stream, "log", "target", store.path("cp"), KEYS, SEQUENCE, buckets=buckets, **HOW)
+
+    run(4)
+    with pytest.raises(ValueError, match="4 buckets, not 8"):
+        run(8)
+
+
 def test_header_footer_stream_equals_batch(spark, store):
     store.append("raw", raw_control(spark, SF))
     raw = store.read("raw")
