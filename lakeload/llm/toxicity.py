@@ -150,7 +150,10 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
     """Fit on the rows that may be learnt from: crc32 of doc_id as text modulo 4 is not 2."""
     may = remainder(F.col("doc_id"), 4) != 2
     known = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(may)
-    prior = min(max(known.agg(F.avg("toxic")).head()[0] or 0.0, 0.01), 0.5)
+    told = known.agg(F.avg("toxic").alias("share"), F.count("toxic").alias("n")).head()
+    share = told["share"] or 0.0
+    # The lower end of what the labels allow: too high a prior would take more than the risk on clean text.
+    prior = min(max(share - 2 * (share * (1 - share) / max(told["n"], 1)) ** 0.5, 0.01), 0.5)
     toxic = known.filter("toxic = 1").select("doc_id")
     usable = docs.filter(may).select("doc_id")  # unlabelled text is all of it, toxic or not
     by_hash = (F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id"))
