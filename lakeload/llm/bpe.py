@@ -19,6 +19,7 @@ import heapq
 import json
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 
 from lakeload.llm.common import Remembered, per_batch, stored
 
-#: Most words that are broadcast, most bytes in one, and words and stretches that a task remembers besides.
-FREQUENT, LONGEST, REMEMBERED = 1 << 17, 48, 150_000
+#: Most words that are broadcast, most bytes in one, and words, and stretches, that a task remembers besides
+#: in each of two generations; words and stretches it counts before it passes them on.
+FREQUENT, LONGEST, REMEMBERED, COUNTED = 1 << 17, 48, 180_000, 400_000
 #: Maps in the literal of ranks; a rank is sought in one of them.
 MAPS = 1 << 15
 #: Stands for no rank.
@@ -174,7 +176,7 @@ def _counted(pattern: str):
                     first, *rest = text.split(" ")
                     words.update(find(first))
                     stretches.update(rest)
-                if len(words) + len(stretches) > REMEMBERED:
+                if len(words) + len(stretches) > COUNTED:
                     yield out()
         yield out()
 
@@ -204,7 +206,8 @@ class Encoder:
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
         self.names = [str(i) for i in range(len(self.pieces))]
-        word = lambda w: np.array(fold(w.encode(), self.ranks), self.kind).tobytes()
+        code = "H" if self.kind is np.uint16 else "I"
+        word = lambda w: array(code, fold(w.encode(), self.ranks)).tobytes()
         self.words = Remembered(word, REMEMBERED, LONGEST)
         self.stretches = Remembered(lambda s: self._all(self.find(" " + s)), REMEMBERED, LONGEST)
 
