@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,19 @@ def splitter(pattern: str) -> regex.Pattern:
     return regex.compile(inside.replace(r"\s", r"\p{White_Space}").replace(r"\S", outside))
 
 
+def words_after_space(stretch: str, find: Callable[[str], list[str]]) -> list[str]:
+    """The words of a stretch without spaces and of the space before it.
+
+    Letters alone are one word, and a comma or full stop after them another; the pattern is only needed for
+    the rest.
+    """
+    if stretch.isalpha():
+        return [" " + stretch]
+    if stretch[-1:] in (",", ".") and stretch[:-1].isalpha():
+        return [" " + stretch[:-1], stretch[-1]]
+    return find(" " + stretch)
+
+
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word: its lowest-ranked neighbours are joined, leftmost first, until none has a rank."""
     if word in ranks:
@@ -156,7 +170,7 @@ def _counted(pattern: str):
 
         def out() -> pa.RecordBatch:
             for stretch, n in stretches.items():
-                for w in find(" " + stretch):
+                for w in words_after_space(stretch, find):
                     words[w] += n
             kept = [(w, n) for w, n in words.items() if len(w) <= LONGEST and len(w.encode()) <= LONGEST]
             stretches.clear()
@@ -209,7 +223,7 @@ class Encoder:
         code = "H" if self.kind is np.uint16 else "I"
         word = lambda w: array(code, fold(w.encode(), self.ranks)).tobytes()
         self.words = Remembered(word, REMEMBERED, LONGEST)
-        self.stretches = Remembered(lambda s: self._all(self.find(" " + s)), REMEMBERED, LONGEST)
+        self.stretches = Remembered(lambda s: self._all(words_after_space(s, self.find)), REMEMBERED, LONGEST)
 
     def _all(self, words: list[str]) -> bytes:
         return b"".join([self.frequent.get(w) or self.words[w] for w in words])
@@ -244,16 +258,20 @@ class Bpe:
         table = frequent.select("word", folded(F.col("word"), self.ranks).alias("ids")).toArrow()
         kind = np.uint16 if max(self.ranks.values()) < 1 << 16 else np.uint32
         found = {w: np.array(i, kind).tobytes() for w, i in zip(table["word"].to_pylist(), table["ids"].to_pylist())}
-        self.shared = self.spark.sparkContext.broadcast((self.ranks, found))
+        self.shared = self._broadcast(found)
         return self
 
+    def _broadcast(self, frequent: dict[str, bytes]) -> Broadcast:
+        """What an encoder needs, and a place for the encoder itself, which a worker keeps from task to task."""
+        return self.spark.sparkContext.broadcast((self.ranks, frequent, {}))
+
     def apply(self, docs: DataFrame, columns: dict[str, tuple[str, pa.DataType]], each, passed: list[str]) -> DataFrame:
         """``passed`` columns of ``docs`` and what ``each(encoder, text)`` gives for every row, by name and type."""
-        shared, pattern = self.shared or self.spark.sparkContext.broadcast((self.ranks, {})), self.pattern
+        shared, pattern = self.shared or self._broadcast({}), self.pattern
 
         def make():
-            ranks, frequent = shared.value
-            encoder = Encoder(ranks, pattern, frequent)
+            ranks, frequent, kept = shared.value
+            encoder = kept.get("encoder") or kept.setdefault("encoder", Encoder(ranks, pattern, frequent))
 
             def run(batch: pa.RecordBatch) -> pa.RecordBatch:
                 found = list(zip(*(each(encoder, t) for t in batch.column("text").to_pylist()))) or [[]] * len(columns)
