@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +38,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs, mixing.mix(docs))
 
 
-def _encoded(encoder: bpe.Encoder, text: str | None) -> tuple[list[int], int, str, str]:
-    ids = encoder.encode(text).tolist()
+def _encoded(encoder: bpe.Encoder, text: str | None) -> tuple[np.ndarray, int, str, str]:
+    found = encoder.encode(text).astype(np.int32)
+    ids = found.tolist()
     written = encoder.written(ids).encode()
-    return ids, len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()
+    return found, len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from lakeload.sinks.scratch import scratch_dir
 
+#: Rows that a task works on at a time.
+ROWS = 1024
 #: A word: anything between ASCII white space. ``bytes.split()`` cuts UTF-8 text alike.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -95,13 +97,17 @@ class Remembered(dict):
 def per_batch(
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For ``mapInArrow``: ``make`` runs once in each task and gives the function over its batches."""
+    """For ``mapInArrow``: ``make`` runs once in each task and gives the function over its batches.
+
+    Batches are handed on ``ROWS`` rows at a time, so that what is made of them stays small.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
-            out = each(batch)
-            if out is not None and out.num_rows:
-                yield out
+            for first in range(0, batch.num_rows, ROWS):
+                out = each(batch.slice(first, ROWS))
+                if out is not None and out.num_rows:
+                    yield out
 
     return run
