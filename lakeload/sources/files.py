@@ -7,8 +7,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions.dates import directory_slice_date, slice_date_from
+from lakeload.functions.dates import Timeslice, directory_slice_date, slice_date_from
 from lakeload.sinks.scratch import scratch_dir
+from lakeload.sources.landing import landing_glob
 
 # The columns that identify a loaded file.
 FILE_KEYS = ["file_path", "file_name", "file_size", "file_modification_time"]
@@ -27,14 +28,18 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str | None =
     # A session of its own: tasks over files are cut by bytes, and names have none.
     listing = spark.newSession()
     listing.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
-    reader = listing.read.format("binaryFile")
+    target = scratch_dir(spark, "listing")
+    _listing(listing, path, pattern).write.parquet(target)
+    return spark.read.schema(_LISTED).parquet(target)
+
+
+def _listing(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
+    reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if not _has_glob(path):
         reader = reader.option("recursiveFileLookup", "true")
-    target = scratch_dir(spark, "listing")
-    reader.load(path).select(*(f"_metadata.{k}" for k in FILE_KEYS), "path").write.parquet(target)
-    return spark.read.schema(_LISTED).parquet(target)
+    return reader.load(path).select(*(f"_metadata.{k}" for k in FILE_KEYS), "path")
 
 
 def _has_glob(path: str | list[str]) -> bool:
@@ -64,12 +69,15 @@ def ready_slices(
     pattern: str = "*.flg",
     fmt: str = "%Y%m%d",
     from_directory: bool = False,
+    timeslice: Timeslice | str = "*",
 ) -> DataFrame:
     """Slice dates whose flag file has arrived; semi-join a load on ``_slice_date``.
 
     Flag files are empty, and Spark plans no task for an empty file, so their names come from the
-    listing itself: one name per finished slice.
+    listing itself: one name per finished slice. ``timeslice`` fills the date formats in ``directory`` and
+    ``pattern`` as in ``landing_glob``, so that only the flags of the slices being loaded are listed.
     """
+    pattern, directory = (landing_glob(p, "", timeslice, fmt, fmt) for p in (pattern, directory))
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     paths = [(path,) for path in reader.load(directory).inputFiles()]
     files = spark.createDataFrame(paths, "path string")

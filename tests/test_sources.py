@@ -7,6 +7,7 @@ from pyspark.sql.types import IntegerType, LongType, StructType
 from conftest import rows
 from control_files import DETAILS_DDL, write_all, write_file
 from lakeload.operators.ledger import new_files
+from lakeload.sources.files import _listing
 from lakeload.sources import (
     AUDIT_SCHEMA,
     CONTROL_CSV,
@@ -89,10 +90,10 @@ def test_timeslice_lists_only_its_files(spark, tmp_path):
 def test_list_files_reads_no_content(spark, tmp_path):
     path = write_file(tmp_path, "customer_details_1", "20230101")
     files = list_files(spark, str(path.parent))
-    assert files.columns == FILE_KEYS
+    assert files.columns == [*FILE_KEYS, "path"]
     assert rows(files, "file_name", "file_size") == [(path.name, path.stat().st_size)]
-    plan = files._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<>" in plan
+    plan = _listing(spark, str(path.parent))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in plan
 
 
 def test_new_files(spark, tmp_path):
@@ -108,6 +109,9 @@ def test_ready_slices(spark, tmp_path):
     (tmp_path / "other.txt").write_text("")
     assert rows(ready_slices(spark, str(tmp_path))) == [(dt.datetime(2023, 1, 2),)]
     assert rows(ready_slices(spark, str(tmp_path), "*.none")) == []
+    (tmp_path / "t-20230203.flg").touch()
+    one = ready_slices(spark, str(tmp_path), "*{{filename_date_format}}*.flg", timeslice="2023-02-*")
+    assert rows(one) == [(dt.datetime(2023, 2, 3),)]
 
 
 def test_table_name_with_replacements():

@@ -7,7 +7,8 @@ from conftest import rows
 from control_files import DETAILS_DDL, PREFERENCES_DDL, write_all
 from lakeload.plans.jobs import load_base, load_current, load_history, load_raw
 from lakeload.sinks.layout import cluster
-from lakeload.sinks.scratch import scratch_dir
+from lakeload.sinks import scratch
+from lakeload.sinks.scratch import clear_scratch, scratch_dir
 from lakeload.sinks.store import Store
 from lakeload.sources import CONTROL_CSV, HEADER_FOOTER_SCHEMA, landing_glob
 
@@ -221,3 +222,13 @@ def test_other_errors_are_not_a_missing_table(spark, store, tmp_path):
     (tmp_path / "store" / "u" / "x.parquet").write_text("not parquet")
     with pytest.raises(Exception, match="x.parquet"):
         store.exists("u")
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "_made", [])
+    path = scratch_dir(spark, "some")
+    spark.range(3).write.parquet(path)
+    clear_scratch(spark)
+    assert not scratch._made
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
