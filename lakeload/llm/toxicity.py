@@ -134,11 +134,12 @@ def _numbered(how: Fit, number: dict[str, int]):
             found = [shares(t) for t in utf8(batch.column("text"))]
             return pa.RecordBatch.from_arrays(
                 [
+                    batch.column("key"),
                     batch.column("toxic"),
                     pa.array([list(f) for f in found], pa.list_(pa.int32())),
                     pa.array([list(f.values()) for f in found], pa.list_(pa.float32())),
                 ],
-                names=["toxic", "number", "share"],
+                names=["key", "toxic", "number", "share"],
             )
 
         return each
@@ -167,10 +168,11 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
     least = max(3, how.least * examples.filter("toxic").count())
     counted = named.select(F.explode("names").alias("name")).groupBy("name").count().filter(F.col("count") >= least)
     names = sorted(r["name"] for r in counted.orderBy(F.desc("count"), "name").limit(how.names).collect())
-    numbers = examples.select("toxic", "text").mapInArrow(
-        _numbered(how, {n: i for i, n in enumerate(names)}), "toxic boolean, number array<int>, share array<float>"
+    numbers = examples.select(F.xxhash64("doc_id", "text", "toxic").alias("key"), "toxic", "text").mapInArrow(
+        _numbered(how, {n: i for i, n in enumerate(names)}),
+        "key long, toxic boolean, number array<int>, share array<float>",
     )
-    rows = numbers.toArrow()
+    rows = numbers.toArrow().sort_by("key")  # sums in one order, so that reruns agree
     lengths = rows.column("number").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
     flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
     row, column, share = np.repeat(np.arange(len(lengths)), lengths), flat("number"), flat("share")
