@@ -14,12 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeload.llm import bpe, mixing, neardup, pii, toxicity
-from lakeload.llm.common import stored, table
+from lakeload.llm.common import short_batches, stored, table
 from lakeload.llm.queries import DIGESTS, VOCABULARY
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted to be toxic by a model learnt from these documents and ``labels``."""
+    short_batches(spark)
     return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 

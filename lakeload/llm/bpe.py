@@ -30,11 +30,11 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import Remembered, per_batch, stored
+from lakeload.llm.common import Remembered, per_batch, short_batches, stored
 
 #: Most words that are broadcast, most bytes in one, and words, and stretches, that a task remembers besides
 #: in each of two generations; words and stretches it counts before it passes them on.
-FREQUENT, LONGEST, REMEMBERED, COUNTED = 1 << 17, 48, 150_000, 400_000
+FREQUENT, LONGEST, REMEMBERED, COUNTED = 1 << 17, 48, 120_000, 300_000
 #: Maps in the literal of ranks; a rank is sought in one of them.
 MAPS = 1 << 15
 #: Stands for no rank.
@@ -246,6 +246,7 @@ class Bpe:
     """A vocabulary with the frequent words of a corpus, ready to encode it."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
+        short_batches(spark)
         self.spark, self.ranks, self.pattern = spark, load_ranks(path), pattern
         self.shared = None
 

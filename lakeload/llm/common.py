@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Pass ``ROWS`` rows to Python at once at most, in this session from now on.
+
+    Texts are long: the usual 10,000 rows take much memory on both sides of the pipe.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS:
+        spark.conf.set(name, ROWS)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage and fixes what was computed."""
     path = scratch_dir(df.sparkSession, name)
