@@ -168,25 +168,29 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
     least = max(3, how.least * examples.filter("toxic").count())
     counted = named.select(F.explode("names").alias("name")).groupBy("name").count().filter(F.col("count") >= least)
     names = sorted(r["name"] for r in counted.orderBy(F.desc("count"), "name").limit(how.names).collect())
-    numbers = examples.select(F.xxhash64("doc_id", "text", "toxic").alias("key"), "toxic", "text").mapInArrow(
-        _numbered(how, {n: i for i, n in enumerate(names)}),
-        "key long, toxic boolean, number array<int>, share array<float>",
-    )
-    rows = numbers.toArrow().sort_by("key")  # sums in one order, so that reruns agree
+
+    def numbered(names: list[str]) -> DataFrame:
+        return examples.select(F.xxhash64("doc_id", "text", "toxic").alias("key"), "toxic", "text").mapInArrow(
+            _numbered(how, {n: i for i, n in enumerate(names)}),
+            "key long, toxic boolean, number array<int>, share array<float>",
+        )
+
+    size = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
+    held = np.zeros((2, len(names)))
+    for r in numbered(names).select("toxic", F.explode("number").alias("n")).groupBy("toxic", "n").count().collect():
+        held[int(r["toxic"]), r["n"]] = r["count"]  # two rows for each name at most
+    used = _apart(held[1], held[0], size.get(True, 0), size.get(False, 0)) > how.apart
+    names = [n for n, u in zip(names, used) if u]
+    rows = numbered(names).toArrow().sort_by("key")  # sums in one order, so that reruns agree
     lengths = rows.column("number").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
     flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    row, column, share = np.repeat(np.arange(len(lengths)), lengths), flat("number"), flat("share")
-    kind = rows.column("toxic").to_numpy().astype(bool)
-    used = _apart(row, column, kind, len(names)) > how.apart
-    held = used[column]
-    return fit(row[held], (np.cumsum(used) - 1)[column[held]], share[held], kind, [n for n, u in zip(names, used) if u], prior, how)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    return fit(row, flat("number"), flat("share"), rows.column("toxic").to_numpy().astype(bool), names, prior, how)
 
 
-def _apart(row: np.ndarray, column: np.ndarray, toxic: np.ndarray, names: int) -> np.ndarray:
+def _apart(in_toxic: np.ndarray, in_rest: np.ndarray, toxic: int, rest: int) -> np.ndarray:
     """How much more often toxic examples hold each feature, in standard errors."""
-    pos, neg = max(1, toxic.sum()), max(1, (~toxic).sum())
-    in_toxic = np.bincount(column[toxic[row]], minlength=names)
-    in_rest = np.bincount(column[~toxic[row]], minlength=names)
+    pos, neg = max(1, toxic), max(1, rest)
     pooled = (in_toxic + in_rest) / (pos + neg)
     return (in_toxic / pos - in_rest / neg) / np.sqrt(pooled * (1 - pooled) * (1 / pos + 1 / neg) + 1e-12)
 
