@@ -9,7 +9,9 @@ tags of the whole text. A tagged span is added if it stands apart, is valid for
 span of that kind; so the model can add spans and never removes one.
 
 A span of these kinds holds a digit, an at sign or a bracketed ``at``. Windows are laid over everything within
-``REACH`` characters of one, in whole texts; elsewhere no span is possible and every tag is O.
+``REACH`` characters of a digit, or of the run of address characters and bracketed signs around an at sign, in
+whole texts; elsewhere no span is possible and every tag is O. What is tagged as an address in such a run is widened
+to the run, however long that is.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans. Rows are searched one by one, so
 equal rows get equal spans and no key matters.
@@ -17,6 +19,7 @@ equal rows get equal spans and no key matters.
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 from dataclasses import dataclass
@@ -43,7 +46,12 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_HINT = re.compile(r"[0-9@]|[\[(]at[\])]", re.IGNORECASE)
+_HINT = re.compile(r"[0-9]|([\[(]\s*(?:at|@)\s*[\])]|@)", re.IGNORECASE)
+# As far as an address can go on from its at sign, forwards, and backwards in the text turned round.
+_AFTER = re.compile(r"(?:[\w.%+@-]++|\s*+[\[(]\s*+(?:dot|at|[.@])\s*+[\])]\s*+)*+", re.IGNORECASE | re.ASCII)
+_BEFORE = re.compile(r"(?:[\w.%+@-]++|\s*+[\])]\s*+(?:tod|ta|[.@])\s*+[\[(]\s*+)*+", re.IGNORECASE | re.ASCII)
+_SPACE = re.compile(r"\s*")
+_LOOSE = re.compile(r"[\s._%+-]*")
 _DIGIT = re.compile(r"[0-9]")
 
 Span = tuple[str, int, int]
@@ -103,9 +111,29 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def hints(text: str) -> list[tuple[int, int, bool]]:
+    """Places that a span must hold, in order: digits, and runs of an address around at signs (True)."""
+    out, end, turned = [], 0, None
+    for m in _HINT.finditer(text):
+        a, b = m.span()
+        if m[1] is None:
+            out.append((a, b, False))
+        elif a >= end:  # else the run of an earlier at sign holds it
+            turned, a = turned or text[::-1], len(text) - a
+            if m[0] != "@":  # white space around brackets belongs to the sign
+                a, b = _SPACE.match(turned, a).end(), _SPACE.match(text, b).end()
+            a, end = len(text) - _BEFORE.match(turned, a).end(), _AFTER.match(text, b).end()
+            out.append((a, end, True))
+    return sorted(out)
+
+
 def windows(text: str) -> list[tuple[int, str]]:
     """(start, characters) of the windows over every place that can hold a span."""
-    out, end = [], 0
+    return _windows(text, hints(text))
+
+
+def _windows(text: str, places: list[tuple[int, int, bool]]) -> list[tuple[int, str]]:
+    out: list[tuple[int, str]] = []
     stretch: list[int] | None = None
 
     def cover(a: int, b: int) -> None:
@@ -115,10 +143,10 @@ def windows(text: str) -> list[tuple[int, str]]:
                 break
             a += STEP
 
-    for m in _HINT.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+    for first, end, _ in places:
+        a, b = max(0, first - REACH), min(len(text), end + REACH)
         if stretch and a <= stretch[1]:
-            stretch[1] = b
+            stretch[1] = max(stretch[1], b)
             continue
         if stretch:
             cover(*stretch)
@@ -172,23 +200,36 @@ class Finder:
 
     def __call__(self, texts: list[str | None]) -> list[tuple[list[Span], list[Span]]]:
         """Base spans and all spans of each text."""
-        laid = [windows(t) if t else [] for t in texts]
+        places = [hints(t) if t else [] for t in texts]
+        laid = [_windows(t, p) if p else [] for t, p in zip(texts, places)]
         flat = [w for ws in laid for _, w in ws]
         tags = [
             decode(self.params, encode(flat[i : i + self.chunk], WINDOW))
             for i in range(0, len(flat), self.chunk)
         ]
         tags, at, out = np.concatenate(tags) if tags else None, 0, []
-        for text, ws in zip(texts, laid):
+        for text, ws, held in zip(texts, laid, places):
             base = base_spans(text) if text else []
-            found = _spans(text, ws, tags[at : at + len(ws)]) if ws else []
+            runs = [(a, b) for a, b, address in held if address]
+            found = _spans(text, ws, tags[at : at + len(ws)], runs) if ws else []
             at += len(ws)
             out.append((base, _together(base, found)))
         return out
 
 
-def _spans(text: str, ws: list[tuple[int, str]], tags: np.ndarray) -> list[Span]:
-    """Spans of a whole text from its windows' tags, each character's from where it is farthest from an edge."""
+def _address(text: str, a: int, b: int) -> Span | None:
+    """The one address that a run is, but for what stands loosely at its ends."""
+    left = _LOOSE.match(text, a, b).end()
+    right = b - _LOOSE.match(text[left:b][::-1]).end()
+    edge = text[left - 1 : left], text[right : right + 1]
+    return ("email", left, right) if left < right and valid("email", text[left:right], *edge) else None
+
+
+def _spans(text: str, ws: list[tuple[int, str]], tags: np.ndarray, runs: list[tuple[int, int]]) -> list[Span]:
+    """Spans of a whole text from its windows' tags, each character's from where it is farthest from an edge.
+
+    An address is widened to its run.
+    """
     best: dict[int, tuple[int, int]] = {}
     middle = np.minimum(np.arange(WINDOW), WINDOW - 1 - np.arange(WINDOW))
     for (start, chars), row in zip(ws, tags):
@@ -210,7 +251,16 @@ def _spans(text: str, ws: list[tuple[int, str]], tags: np.ndarray) -> list[Span]
     if open_:
         found.append((KINDS[open_[0]], open_[1], open_[2]))
     edge = lambda a, b: (text[a - 1] if a else "", text[b] if b < len(text) else "")
-    return [s for s in found if valid(s[0], text[s[1] : s[2]], *edge(s[1], s[2]))]
+    out: dict[Span, None] = {}  # pieces of one address are widened to the same
+    for s in found:
+        i = max(0, bisect.bisect(runs, (s[1], len(text))) - 1)
+        near = [r for r in runs[i : bisect.bisect_left(runs, (s[2], 0))] if s[1] < r[1]] if s[0] == "email" else []
+        wide = [w for r in near if (w := _address(text, *r))]
+        if wide:
+            out |= dict.fromkeys(wide)
+        elif valid(s[0], text[s[1] : s[2]], *edge(s[1], s[2])):
+            out[s] = None
+    return list(out)
 
 
 def _together(base: list[Span], found: list[Span]) -> list[Span]:

@@ -47,6 +47,35 @@ def test_windows_hold_every_hint_with_its_surroundings(text):
         assert set(range(max(0, m.start() - 24), min(len(text), m.end() + 24))) <= held
 
 
+LONG = [
+    "firstname.middlename.lastname (at) example (dot) org",
+    "wilhelmina.josephine.van.der.westhuizen-okonkwo [at] example.org",
+    "a.b (at) mail.department-of-examples.a-rather-long-university-name (dot) example (dot) org",
+    "".join(f"part{'abcdefgh'[i]}." for i in range(8)) + "end ( at ) " + " (dot) ".join(["host", "with", "many", "names", "in", "it", "org"]),
+]
+
+
+def test_windows_hold_whole_addresses():
+    for address in LONG:
+        text = "and so on " * 10 + address + " and so on" * 10
+        held = {i for a, w in windows(text) for i in range(a, a + len(w))}
+        assert set(range(100, 100 + len(address))) <= held
+
+
+def test_long_runs_of_addresses_take_linear_time():
+    for text in ["a[.]" * 75_000 + "@", "a(at)" * 60_000, "( at" * 75_000, "@ " * 100_000, "@(" + " " * 300_000]:
+        windows(text)
+
+
+def test_long_addresses_are_found_whole(finder):
+    for address in LONG:
+        assert len(address) > 50
+        text = f"Please write to the office at {address}, or come by on any day of the week."
+        ((_, found),) = finder([text])
+        assert ("email", 30, 30 + len(address)) in found, (address, [text[a:b] for _, a, b in found])
+        assert address[:9] not in redacted(text, found) and "org" not in redacted(text, found)
+
+
 def test_long_runs_take_linear_time():
     for text in ["1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1" + " " * 300_000, "@" * 100_000]:
         base_spans(text)
