@@ -230,24 +230,26 @@ def _spans(text: str, ws: list[tuple[int, str]], tags: np.ndarray, runs: list[tu
 
     An address is widened to its run.
     """
-    best: dict[int, tuple[int, int]] = {}
+    if not tags.any():
+        return []
+    depth, best = np.full(len(text), -1), np.zeros(len(text), np.int64)
     middle = np.minimum(np.arange(WINDOW), WINDOW - 1 - np.arange(WINDOW))
     for (start, chars), row in zip(ws, tags):
-        if not row.any() and not best:
-            continue
-        for i in range(len(chars)):
-            depth = middle[i] if 0 < start + i < len(text) - 1 else WINDOW
-            if depth > best.get(start + i, (-1, 0))[0]:
-                best[start + i] = (depth, int(row[i]))
+        end, own = start + len(chars), middle[: len(chars)].copy()
+        if start == 0:
+            own[0] = WINDOW
+        if end == len(text):
+            own[-1] = WINDOW
+        deeper = np.flatnonzero(own > depth[start:end])  # windows without a span have their say too
+        depth[start + deeper], best[start + deeper] = own[deeper], row[deeper]
     found, open_ = [], None
-    for at in sorted(best):
-        tag = best[at][1]
-        kind = (tag - 1) // 2 if tag else None
+    for at in np.flatnonzero(best).tolist():
+        tag = int(best[at])
+        kind = (tag - 1) // 2
         if open_ and (kind != open_[0] or tag % 2 == 1 or at != open_[2]):
             found.append((KINDS[open_[0]], open_[1], open_[2]))
             open_ = None
-        if tag:
-            open_ = (kind, open_[1], at + 1) if open_ else (kind, at, at + 1)
+        open_ = (kind, open_[1], at + 1) if open_ else (kind, at, at + 1)
     if open_:
         found.append((KINDS[open_[0]], open_[1], open_[2]))
     edge = lambda a, b: (text[a - 1] if a else "", text[b] if b < len(text) else "")

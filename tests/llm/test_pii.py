@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lakeload.llm import tagger
-from lakeload.llm.pii import KINDS, WINDOW, base_spans, find, luhn, made_up, redact, redacted, tag_numbers, train, windows
+from lakeload.llm.pii import KINDS, WINDOW, _spans, base_spans, find, luhn, made_up, redact, redacted, tag_numbers, train, windows
 from lakeload.llm.queries import QUERIES
 from llm.helpers import awkward, empty
 
@@ -76,6 +76,20 @@ def test_long_addresses_are_found_whole(finder):
         assert address[:9] not in redacted(text, found) and "org" not in redacted(text, found)
 
 
+def test_windows_without_spans_vote_too():
+    """The second window tags an address near its edge, which the first saw farther from an edge and did not tag."""
+    text = "x" * 33 + " bob@ab.cd " + "x" * 52
+    ws = [(0, text[:WINDOW]), (32, text[32:])]
+    tags = np.stack([np.zeros(WINDOW, np.int64), tag_numbers(32, WINDOW, [("email", 34, 43)])])
+    assert _spans(text, ws, tags, []) == []
+    before = "y" * WINDOW  # what stands earlier in the text does not matter
+    ws = [(0, before), *((WINDOW + a, w) for a, w in ws)]
+    tags = np.vstack([tag_numbers(0, WINDOW, [("phone", 5, 20)]), tags])
+    assert _spans(before + text, ws, tags, []) == []
+    tags[1] = tag_numbers(0, WINDOW, [("email", 34, 43)])
+    assert _spans(before + text, ws, tags, []) == [("email", WINDOW + 34, WINDOW + 43)]
+
+
 def test_long_runs_take_linear_time():
     for text in ["1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1" + " " * 300_000, "@" * 100_000]:
         base_spans(text)
