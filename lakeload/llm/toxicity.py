@@ -7,7 +7,8 @@ text's words: each word brings itself and its first letters as features, and a s
 bias plus the weights of the words by their part of the text, so a word's weight is looked up once. One word
 counts for a bounded part, so that a text repeating it is not judged by it alone.
 
-It is fitted on the driver on bounded, documented samples (``Fit``), chosen by hash; scores cover whole texts of
+It is fitted on the driver on bounded, documented samples (``Fit``) of documents, chosen by hash, one text for each
+id; scores cover whole texts of
 all rows in one pass. Null, empty and blank texts score the bias alone. Equal texts get equal scores. Labels
 whose document is absent are ignored; labels for one document that disagree count as toxic.
 """
@@ -147,6 +148,15 @@ def _numbered(how: Fit, number: dict[str, int]):
     return per_batch(make)
 
 
+def _one_text_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """doc_id, text and toxic: one row for each of ``chosen``, the text with the lowest hash where an id has several."""
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    # No more ids than asked for; what is combined before the shuffle is one row for an id, or an id's text.
+    least = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("hash").alias("hash"))
+    found = texts.join(F.broadcast(least), ["doc_id", "hash"]).select("doc_id", "text", "toxic").distinct()
+    return stored(found, "toxicity-examples")
+
+
 def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
     """Fit on the rows that may be learnt from: crc32 of doc_id as text modulo 4 is not 2."""
     may = remainder(F.col("doc_id"), 4) != 2
@@ -156,14 +166,14 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
     # The lower end of what the labels allow: too high a prior would take more than the risk on clean text.
     prior = min(max(share - 2 * (share * (1 - share) / max(told["n"], 1)) ** 0.5, 0.01), 0.5)
     toxic = known.filter("toxic = 1").select("doc_id")
-    usable = docs.filter(may).select("doc_id")  # unlabelled text is all of it, toxic or not
+    # Each document once, however many rows it has; unlabelled text is all of it, toxic or not.
+    usable = docs.filter(may).select("doc_id").distinct()
     by_hash = (F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id"))
     first = lambda rows, n, kind: rows.orderBy(*by_hash).limit(n).withColumn("toxic", F.lit(kind))
     chosen = first(usable.join(toxic, "doc_id", "left_semi"), how.positives, True).unionByName(
         first(usable, how.unlabelled, False)
     )
-    # No more ids than asked for above.
-    examples = stored(docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id"), "toxicity-examples")
+    examples = _one_text_each(docs, stored(chosen, "toxicity-chosen"))
     named = examples.filter("toxic").select("text").mapInArrow(_named(how), "names array<string>")
     least = max(3, how.least * examples.filter("toxic").count())
     counted = named.select(F.explode("names").alias("name")).groupBy("name").count().filter(F.col("count") >= least)

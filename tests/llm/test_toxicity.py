@@ -3,9 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lakeload.llm import toxicity
 from lakeload.llm.common import remainder
 from lakeload.llm.queries import QUERIES
-from lakeload.llm.toxicity import score, train, without_toxic
+from lakeload.llm.toxicity import Fit, score, train, without_toxic
 from llm.helpers import awkward, empty, prose
 
 
@@ -53,3 +54,22 @@ def test_awkward_rows(spark, planted):
     none = train(empty(spark), planted[1].limit(0))
     assert without_toxic(empty(spark), none).count() == 0 and without_toxic(docs, none).count() == docs.count()
     score(docs.select("doc_id", "text"), train(docs, planted[1])).collect()
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_one_id_with_a_third_of_the_rows(spark, planted, monkeypatch, same):
+    """Its rows, equal or not, are one example of each kind; the others still fill the samples."""
+    docs, labels = planted
+    hot = docs.filter(remainder(F.col("doc_id"), 4) != 2).join(labels.filter("toxic = 1"), "doc_id").agg(F.min("doc_id")).head()[0]
+    text = F.lit("grobble w1 w2") if same else F.concat(F.lit("grobble w1 x"), F.col("id").cast("string"))
+    more = spark.range(450).select(F.lit(hot).alias("doc_id"), text.alias("text"))
+    fitted, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda row, column, share, toxic, *rest: fitted.append(toxic) or fit(row, column, share, toxic, *rest))
+    how = Fit(positives=1000, unlabelled=1000)
+    train(docs.unionByName(more), labels, how)
+    usable = docs.filter(remainder(F.col("doc_id"), 4) != 2)
+    (toxic,) = fitted
+    assert toxic.sum() == usable.join(labels.filter("toxic = 1"), "doc_id").count()
+    assert (~toxic).sum() == usable.count()
+    train(docs.unionByName(more), labels, Fit(positives=20, unlabelled=40))
+    assert fitted[1].sum() == 20 and len(fitted[1]) == 60
