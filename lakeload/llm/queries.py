@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import bpe, chat, lm, mixing, neardup, pii, rules, sharding, toxicity, vectors
+from lakeload.llm import (
+    alignment, bpe, chat, codes, lm, mixing, neardup, packing, pii, rules, sharding, toxicity, vectors,
+)
 from lakeload.llm.common import WORD, per_batch, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +200,58 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         per_batch(_read_back),
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
+
+
+@query()
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4,096 ids."""
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(cut)
+
+
+def _op12_round(books: str) -> str:
+    """Parts with their nearest entry of ``books`` and its distance."""
+    return f"""select p.rid, p.part, p.xs, min({{'d': p.norm - 2 * list_dot_product(p.xs, b.xs) + b.norm, 'e': b.entry}}) as best
+  from p join {books} b using (part) group by p.rid, p.part, p.xs"""
+
+
+def _op12_books(before: str, nearest: str) -> str:
+    """Entries replaced by the floors of the means of their parts; unused ones stay."""
+    return f"""select b.part, b.entry, coalesce(m.xs, b.xs) as xs, list_dot_product(coalesce(m.xs, b.xs), coalesce(m.xs, b.xs)) as norm
+  from {before} b left join (
+    select part, entry, list(cast((s - ((s % n) + n) % n) // n as double) order by i) as xs from (
+      select part, entry, i, cast(sum(x) as bigint) as s, count(*) as n from (
+        select part, best.e as entry, unnest(xs) as x, generate_subscripts(xs, 1) as i from {nearest})
+      group by part, entry, i) group by part, entry) m using (part, entry)"""
+
+
+_OP12 = f"""
+with v as materialized (
+  select row_number() over (order by vec_id, xs) as rid, vec_id, label, xs from (
+    select vec_id, label, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as xs from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)),
+p as materialized (
+  select rid, part, xs, list_dot_product(xs, xs) as norm from (
+    select rid, part, list_slice(xs, part * (len(xs) // 4) + 1, (part + 1) * (len(xs) // 4)) as xs
+    from v, range(4) t(part))),
+b0 as materialized (select part, rid - 1 as entry, xs, norm from p where rid <= 256),
+{"".join(f"n{r} as materialized ({_op12_round(f'b{r}')}), b{r + 1} as materialized ({_op12_books(f'b{r}', f'n{r}')}), " for r in range(4))}
+n4 as materialized ({_op12_round("b4")}),
+c as (select rid, string_agg(format('{{:02x}}', best.e), '' order by part) as code, cast(sum(best.d) as bigint) as error from n4 group by rid),
+h as (select sha256(string_agg(cast(cast(x as bigint) as varchar), ',' order by part, entry, i)) as digest
+  from (select part, entry, unnest(xs) as x, generate_subscripts(xs, 1) as i from b4))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, digest as codebooks_sha256
+from c join v using (rid), h"""
+
+
+@query(_OP12)
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors with their errors."""
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two vocabularies aligned over all documents, links counted corpus-wide."""
+    first, second = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), first, second, public_tokenizers.PATTERN)

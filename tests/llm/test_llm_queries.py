@@ -13,4 +13,4 @@ def test_query(spark, name, sf):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
