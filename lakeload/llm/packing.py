@@ -22,6 +22,7 @@ import json
 import os
 import unicodedata
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,9 +32,10 @@ from pyspark.sql import functions as F
 
 from lakeload.llm.bpe import splitter
 from lakeload.llm.common import Remembered, per_batch, short_batches, stored
+from lakeload.llm.segments import parts
 
 #: Words a task remembers in each of two generations, and the most characters in one.
-REMEMBERED, LONGEST = 150_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 #: Windows in a block on average, and pieces in a block at most on average.
 WINDOWS, PIECES = 256, 16_384
 
@@ -58,7 +60,7 @@ class WordCoder:
     """Ids of texts by a vocabulary with word ends, which drops white space, so that words stand alone.
 
     Words of Latin letters, digits and signs go to the merges directly; the whole library takes the others and
-    those that may hold a special token.
+    texts that may hold a special token.
     """
 
     def __init__(self, vocabulary: str):
@@ -71,33 +73,47 @@ class WordCoder:
         self.find = splitter(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.special = [t["content"][0] for t in told["added_tokens"]]
         self.letters = _letters()
-        self.kind = np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32
+        self.code = "H" if self.whole.get_vocab_size() <= 1 << 16 else "I"
+        #: Simple words in lower case, and others as they stand.
         self.words = Remembered(self._word, REMEMBERED, LONGEST)
+        self.others = Remembered(self._other, REMEMBERED // 4, LONGEST)
 
     def _word(self, word: str) -> bytes:
-        # Below this character lower case is a matter of each character alone, but for a dotted I.
-        simple = max(word, default="") < "ɐ" and "İ" not in word and unicodedata.is_normalized("NFC", word)
-        if not simple or any(c in word for c in self.special):
-            ids = self.whole.encode(word, add_special_tokens=False).ids
-        else:
-            ids = []
-            for part in self.find(word.lower()):
-                if not (part.isascii() and part.isprintable()):
-                    part = part.encode().decode("latin-1").translate(self.letters)
-                ids += [t.id for t in self.merge(part)]
-        return np.array(ids, self.kind).tobytes()
+        cut = parts(word)
+        if len(cut) > 1:
+            return b"".join([self.words[part] for part in cut])
+        ids = array(self.code)
+        for part in [word] if word.isascii() and word.isalpha() else self.find(word):
+            if not (part.isascii() and part.isprintable()):
+                part = part.encode().decode("latin-1").translate(self.letters)
+            ids.extend([t.id for t in self.merge(part)])
+        return ids.tobytes()
+
+    def _other(self, word: str) -> bytes:
+        return array(self.code, self.whole.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _simple(self, text: str) -> bool:
+        """Whether lower case is a matter of each character alone, and nothing else changes."""
+        if any(c in text for c in self.special):
+            return False
+        return text.isascii() or max(text) < "ɐ" and "İ" not in text and unicodedata.is_normalized("NFC", text)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids as little-endian unsigned 32-bit numbers."""
-        held = b"".join(map(self.words.__getitem__, (text or "").split(" ")))
-        return np.frombuffer(held, self.kind).astype("<u4")
+        text = text or ""
+        if self._simple(text):
+            held = b"".join(map(self.words.__getitem__, text.lower().replace("\n", " ").split(" ")))
+        else:
+            held = b"".join(map(self.others.__getitem__, text.split(" ")))
+        return np.frombuffer(held, f"<u{array(self.code).itemsize}").astype("<u4")
 
 
 def cuts(length: int, how: Packing) -> list[int]:
     """Where the pieces of so many ids start: whole sequences first, then equal small pieces."""
     whole = length // how.capacity
-    left, parts = length - whole * how.capacity, -(-(length - whole * how.capacity) // how.piece)
-    return [i * how.capacity for i in range(whole)] + [whole * how.capacity + left * i // parts for i in range(parts)]
+    left = length - whole * how.capacity
+    small = -(-left // how.piece)
+    return [i * how.capacity for i in range(whole)] + [whole * how.capacity + left * i // small for i in range(small)]
 
 
 PIECE_COLUMNS = {
@@ -160,16 +176,16 @@ def _merged(a: _Part, b: _Part, windows: int) -> _Part:
 
 def difference(lengths: list[int], windows: int) -> tuple[np.ndarray, np.ndarray]:
     """(window of each piece, sums of the windows), nearly equal."""
-    parts = [_Part(np.array([n], np.int64)) for n in lengths]
+    alone = [_Part(np.array([n], np.int64)) for n in lengths]
     spread = lambda p: int(p.sums[0]) - (int(p.sums[-1]) if len(p.sums) == windows else 0)
-    heap = [(-spread(p), i, p) for i, p in enumerate(parts)]
+    heap = [(-spread(p), i, p) for i, p in enumerate(alone)]
     heapq.heapify(heap)
-    for number in range(len(parts), 2 * len(parts) - 1):
+    for number in range(len(alone), 2 * len(alone) - 1):
         _, _, a = heapq.heappop(heap)
         _, _, b = heapq.heappop(heap)
         part = _merged(a, b, windows)
         heapq.heappush(heap, (-spread(part), number, part))
-    place = {id(p): i for i, p in enumerate(parts)}
+    place = {id(p): i for i, p in enumerate(alone)}
     root = heap[0][2]
     window = np.zeros(len(lengths), np.int64)
     todo = [(root, np.arange(len(root.sums)))]

@@ -5,13 +5,30 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
-_UNEVEN = re.compile(r" \s|\s |^ | $")
+_UNEVEN = re.compile(r" \s|\s ")
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
+#: Latin letters with a full stop or comma behind: two tokens' worth for any vocabulary that has no entry with both.
+STOP = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[.,])")
+_INSIDE = re.compile(rf"(?<=\S)(?=\n\S)|{STOP.pattern}")
+
+
+def _even(text: str) -> bool:
+    """Whether all spaces are single, and neither other white space nor an end of the text is beside one."""
+    if "  " in text or text[:1] == " " or text[-1:] == " ":
+        return False
+    if not text.isascii():
+        return not _UNEVEN.search(text)
+    return not any(c in text and (" " + c in text or c + " " in text) for c in "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
 
 
 def segments(text: str) -> list[str]:
     """The parts of a text between spaces that have no other white space, nor an end of the text, beside them."""
-    return _SINGLE.split(text) if _UNEVEN.search(text) else text.split(" ")
+    return text.split(" ") if _even(text) else _SINGLE.split(text)
+
+
+def parts(segment: str) -> list[str]:
+    """A segment cut before single line ends and before a stop or comma that follows a letter."""
+    return [segment] if segment.isalnum() else _INSIDE.split(segment)
 
 
 def portions(texts: list[str], characters: int = 1 << 21) -> Iterator[list[str]]:
