@@ -2,8 +2,8 @@
 
 A byte-level vocabulary (A) and a piece vocabulary (B) encode a space and the text. Byte offsets where a token of
 each ends cut both into groups; two tokens whose bytes overlap are linked. Texts are cut at single spaces, where
-both vocabularies end a token whatever follows (checked for the files given); each distinct segment is encoded and
-aligned once and remembered.
+both vocabularies end a token whatever follows, and segments again before line ends, stops and commas (checked for
+the files given); each distinct part is encoded and aligned once and remembered, and so is what segments are joined to.
 
 Linked pairs are counted over the corpus with minimal perfect hashing. The first pass gives the pairs and counts of
 each task's portions. The distinct pairs are hashed in buckets, a record of a few bits and the key for each. Every
@@ -23,7 +23,8 @@ import hashlib
 import json
 import os
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -34,10 +35,11 @@ from pyspark.sql import functions as F
 
 from lakeload.llm import hashing
 from lakeload.llm.common import ROWS, short_batches, stored
-from lakeload.llm.segments import Generations, portions, segments
+from lakeload.llm.segments import STOP, Generations, parts, portions, segments
 
-#: Segments remembered in each of two generations, characters in one, segments counted before they are passed on.
-REMEMBERED, LONGEST, COUNTED = 100_000, 48, 200_000
+#: Segments and parts remembered in each of two generations, characters in one, segments counted before they are
+#: passed on.
+REMEMBERED, PARTS, LONGEST, COUNTED = 250_000, 250_000, 48, 200_000
 #: Most pairs that are broadcast. Rows of counts that one dense vector is made of on average; vectors summed at once.
 FRONT, SHARE, FAN_IN = 1 << 22, 1 << 18, 16
 
@@ -94,26 +96,36 @@ class Aligner:
         piece = self.pieces.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def align(self, parts: list[str]) -> list[Aligned | None]:
-        """Each segment with a space before it; None where tokens do not give its bytes back."""
-        spaced = [" " + p for p in parts]
-        latin = [max(p) < "ɐ" for p in spaced]
-        rest = iter(self.whole.encode_batch_fast([p for p, l in zip(spaced, latin) if not l], add_special_tokens=False))
-        a = [self.fast(p) if l else next(rest).ids for p, l in zip(spaced, latin)]
-        b = self.pieces.encode(parts, num_threads=1)
-        joined = (lambda ids, table: b"".join(map(table.__getitem__, ids)))
-        good = [
-            joined(x, self.bytes_a) == joined(y, self.bytes_b) == p.encode() for x, y, p in zip(a, b, spaced)
-        ]
-        kept = [(x, y) for x, y, g in zip(a, b, good) if g]
-        made = iter(self._aligned([x for x, _ in kept], [y for _, y in kept]) if kept else [])
-        return [next(made) if g else None for g in good]
+    def align(self, found: list[str]) -> list[Aligned | None]:
+        """Parts of segments, those at the head of one with the space before it; None where tokens do not give
+        the bytes back."""
+        latin = [p.isascii() or max(p) < "ɐ" for p in found]
+        rest = iter(self.whole.encode_batch_fast([p for p, l in zip(found, latin) if not l], add_special_tokens=False))
+        a = [self.fast(p) if l else next(rest).ids for p, l in zip(found, latin)]
+        # The model puts a space before all it encodes. A line end is a token of its own: what follows it stands as
+        # it would inside a text.
+        spaced = [p[:1] == " " and len(p) > 1 for p in found]
+        b = self.pieces.encode([p[1:] if s else "\n" + p for p, s in zip(found, spaced)], num_threads=1)
+        b = [x if s else x[2:] for x, s in zip(b, spaced)]
+        whole = [p.encode() for p in found]
+        good = self._same(a, self.bytes_a, whole) and self._same(b, self.bytes_b, whole)
+        if good is not True:
+            good = [self._same([x], self.bytes_a, [w]) and self._same([y], self.bytes_b, [w]) for x, y, w in zip(a, b, whole)]
+            a, b = ([x for x, g in zip(ids, good) if g] for ids in (a, b))
+            made = iter(self._aligned(a, b) if a else [])
+            return [next(made) if g else None for g in good]
+        return self._aligned(a, b)
+
+    @staticmethod
+    def _same(ids: list[list[int]], pieces: list[bytes], whole: list[bytes]) -> bool:
+        """Whether the tokens of each part have its bytes."""
+        joined = [b"".join([pieces[i] for i in x]) for x in ids]
+        return joined == whole
 
     def _aligned(self, a: list[list[int]], b: list[list[int]]) -> list[Aligned]:
         """All segments beside each other: every offset where a token ends closes a link, a shared one a group."""
         count_a, count_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        ids_a = np.fromiter((i for x in a for i in x), np.int64, count_a.sum())
-        ids_b = np.fromiter((i for x in b for i in x), np.int64, count_b.sum())
+        ids_a, ids_b = (np.array(list(chain.from_iterable(x)), np.int64) for x in (a, b))
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
         ends = np.union1d(ends_a, ends_b)
         at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
@@ -124,7 +136,7 @@ class Aligner:
         first = np.r_[0, last[:-1]]
         closed = np.cumsum(shared)
         groups = np.diff(np.r_[0, closed[last - 1]])
-        texts = self._texts(a, b, at_a[shared] + 1, at_b[shared] + 1, groups) if self.written else [""] * len(a)
+        texts = self._texts(ids_a, ids_b, at_a[shared] + 1, at_b[shared] + 1, groups) if self.written else [""] * len(a)
         data, first, last = links.astype("<u4").tobytes(), 4 * first, 4 * last
         return [
             Aligned(x, y, g, data[s:e], t)
@@ -132,8 +144,8 @@ class Aligner:
         ]
 
     @staticmethod
-    def _texts(a, b, until_a: np.ndarray, until_b: np.ndarray, groups: np.ndarray) -> list[str]:
-        names_a, names_b = ([str(i) for x in ids for i in x] for ids in (a, b))
+    def _texts(a: np.ndarray, b: np.ndarray, until_a: np.ndarray, until_b: np.ndarray, groups: np.ndarray) -> list[str]:
+        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
         out, i, j = [], 0, 0
         for m, n in zip(until_a.tolist(), until_b.tolist()):
             out.append(f"{','.join(names_a[i:m])}|{','.join(names_b[j:n])}")
@@ -142,8 +154,18 @@ class Aligner:
         return [";".join(out[s:e]) for s, e in zip([0, *ends], ends)]
 
 
-def _parts(text: str | None) -> list[str]:
-    return segments(text) if text else []
+class _BySegment:
+    """What is made of segments by joining what is made of their parts; both are remembered."""
+
+    def __init__(self, make: Callable[[list[str]], list], join: Callable[[list], object]):
+        self.parts, self.join = Generations(make, PARTS, LONGEST), join
+        self.segments = Generations(self._joined, REMEMBERED, LONGEST)
+        self.all = self.segments.all
+
+    def _joined(self, found: list[str]) -> list:
+        cut = [parts(" " + s) for s in found]
+        made = self.parts.all(set().union(*cut))
+        return [made[c[0]] if len(c) == 1 else self.join([made[p] for p in c]) for c in cut]
 
 
 class Alignment:
@@ -158,9 +180,12 @@ class Alignment:
         merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in told["model"]["merges"]]
         order = [told["model"]["vocab"][m] for m in merged]
         aligner = Aligner(*self.files, False)
-        inside = [p for p in aligner.bytes_b if b" " in p[1:] and p.strip(b" ")]
+        inside = [
+            p for p in aligner.bytes_b
+            if b" " in p[1:] and p.strip(b" ") or b"\n" in p and len(p) > 1 or STOP.search(p.decode(errors="replace"))
+        ]
         if order != sorted(order) or inside:
-            raise ValueError("the files need merges in the order of their ids and no piece with a space inside")
+            raise ValueError("the files need merges in the order of their ids and no piece over a place where texts are cut")
         self.spark, self.width = spark, aligner.width
         self.shared = spark.sparkContext.broadcast((self.files, {}))
 
@@ -211,7 +236,7 @@ class Alignment:
                 for s in range(0, len(texts), ROWS):
                     rows = []
                     for some in portions([t or "" for t in texts[s : s + ROWS]]):
-                        every = [_parts(t) for t in some]
+                        every = [segments(t) if t else [] for t in some]
                         found = scored.all(set().union(*every))
                         rows += [_row([found[p] for p in e], groups) for e in every]
                     arrays = [pa.array(c, k) for c, k in zip(zip(*rows), _KINDS if groups else _KINDS[:7] + _KINDS[8:])]
@@ -229,28 +254,28 @@ _REST = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
 _KINDS = [*[pa.int64()] * 6, pa.string(), pa.string(), _REST]
 
 
-def _links(shared: Broadcast) -> Generations:
+def _links(shared: Broadcast) -> _BySegment:
     """Links of segments; a worker keeps them from task to task."""
     files, kept = shared.value
     if "links" not in kept:
         align = Aligner(*files, False).align
-        kept["links"] = Generations(lambda keys: [a and a.links for a in align(keys)], REMEMBERED, LONGEST)
+        links = lambda found: [a and a.links for a in align(found)]
+        kept["links"] = _BySegment(links, lambda made: None if None in made else b"".join(made))
     return kept["links"]
 
 
-def _scores(shared: Broadcast, front: Broadcast, width: int) -> Generations:
+def _scores(shared: Broadcast, front: Broadcast, width: int) -> _BySegment:
     """Scores of segments; a worker keeps them, and no longer what the first pass kept."""
     (files, kept), (table, n, best, scores) = shared.value, front.value
     if "scores" not in scores:
         kept.clear()
         aligner = Aligner(*files, True)
-        make = lambda keys: _scored(aligner.align(keys), table, n, best, width)
-        scores["scores"] = Generations(make, REMEMBERED, LONGEST)
+        scores["scores"] = _BySegment(lambda found: _scored(aligner.align(found), table, n, best, width), _together)
     return scores["scores"]
 
 
 def _scored(aligned: list[Aligned | None], table: hashing.Table, n: np.ndarray, best: np.ndarray, width: int) -> list:
-    """Of each segment: its numbers, its groups as text, and its links that the front does not hold."""
+    """Of each part: its numbers as bytes, its groups as text, and its links that the front does not hold."""
     kept = [a.links for a in aligned if a]
     if not kept:
         return [None] * len(aligned)
@@ -261,28 +286,41 @@ def _scored(aligned: list[Aligned | None], table: hashing.Table, n: np.ndarray,
     top = there & (count == best[links % width])
     ends = np.cumsum([len(x) // 4 for x in kept])
     starts = ends - [len(x) // 4 for x in kept]
-    sums, tops, lost = (np.add.reduceat(x.astype(np.int64), starts).tolist() for x in (count, top, ~there))
-    found = iter(zip(sums, tops, lost, starts.tolist(), ends.tolist()))
-    out = []
-    for a in aligned:
-        if a is None:
+    numbers = np.empty((len(kept), len(SCORES)), np.int64)
+    numbers[:, :3] = [x[:3] for x in aligned if x]
+    numbers[:, 3] = ends - starts
+    numbers[:, 4], numbers[:, 5], lost = (np.add.reduceat(x.astype(np.int64), starts) for x in (top, count, ~there))
+    data, width, out, i = numbers.tobytes(), 8 * len(SCORES), [], 0
+    for x in aligned:
+        if x is None:
             out.append(None)
             continue
-        total, topped, away, s, e = next(found)
-        rest = links[s:e][~there[s:e]].tolist() if away else None
-        out.append((a.a, a.b, a.groups, e - s, topped, total, a.text, rest))
+        rest = links[starts[i] : ends[i]][~there[starts[i] : ends[i]]].tolist() if lost[i] else None
+        out.append((data[width * i : width * (i + 1)], x.text, rest))
+        i += 1
     return out
 
 
+def _sums(data: Iterable[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(data), np.int64).reshape(-1, len(SCORES)).sum(0)
+
+
+def _together(made: list) -> tuple | None:
+    """The scores of a segment from those of its parts."""
+    if None in made:
+        return None
+    numbers, texts, rests = zip(*made)
+    return _sums(numbers).tobytes(), ";".join(texts), [p for r in rests if r for p in r] or None
+
+
 def _row(found: list, groups: bool) -> tuple:
     if not found or None in found:
         return (0,) * 6 + (("", "", []) if groups else ("", []))
-    *numbers, texts, rests = zip(*found)
+    numbers, texts, rests = zip(*found)
     text = ";".join(texts)
-    rest = Counter(p for r in rests if r for p in r)
-    told = [{"pair": p, "n": n} for p, n in rest.items()]
+    told = [{"pair": p, "n": n} for p, n in Counter(p for r in rests if r for p in r).items()]
     digest = hashlib.sha256(text.encode()).hexdigest()
-    return tuple(map(sum, numbers)) + ((digest, text, told) if groups else (digest, told))
+    return (*_sums(numbers).tolist(), *((digest, text, told) if groups else (digest, told)))
 
 
 class PairCounts:
