@@ -21,33 +21,32 @@ from lakeload.sources.schema import AUDIT_SCHEMA, CONTROL_AUDIT_SCHEMA, HEADER_F
 def loaded_files(store: Store, name: str) -> DataFrame:
     """The files a raw table holds, kept in the table ``<name>_files``.
 
-    Before it is used the ledger catches up with runs it does not know yet, reading the lineage of
-    those runs only. So it never misses a finished load, wherever an earlier job stopped, and each
-    run is scanned for its files once. What was written of the ledger counts only if all of it is there:
-    ``<name>_files_done`` holds how many rows each part has. One job at a time may load a table.
+    Before it is used the ledger catches up with runs it does not know yet. Which these are is a matter of names:
+    folders of the raw table, without those that the ledger's note says it covers. They reach the scan as values
+    of its partition column, so only their files are opened, once each. The note holds how many rows each part of
+    the ledger has and is written after the part; only whole parts count, so the ledger never misses a finished
+    load, wherever an earlier job stopped. One job at a time may load a table.
     """
-    ledger, done = f"{name}_files", f"{name}_files_done"
-    raw = store.read_with_runs(name)
-    lineage = raw.select(*(F.col(f"_metadata.{k}").alias(k) for k in FILE_KEYS), F.col(RUN).alias("run"))
-    complete = _complete(store, ledger, done)
-    if complete is not None:
-        lineage = lineage.join(complete.select("run").distinct(), "run", "left_anti")
-    if complete is None or not lineage.isEmpty():
-        part = store.append(ledger, lineage.select(*FILE_KEYS, "run").distinct())
-        held = store.read_run(ledger, part).count()
-        store.append(done, store.spark.createDataFrame([(part, held)], "part string, held long"))
-        complete = _complete(store, ledger, done)
-    return complete.select(*FILE_KEYS)
-
-
-def _complete(store: Store, ledger: str, done: str) -> DataFrame | None:
-    """The rows of the finished parts of a ledger; None before the first."""
-    if not (store.exists(ledger) and store.exists(done)):
-        return None
-    rows = store.read_with_runs(ledger)
-    found = rows.groupBy(F.col(RUN).alias("part")).agg(F.count(F.lit(1)).alias("held"))
-    finished = found.join(store.read(done).distinct(), ["part", "held"])
-    return rows.join(finished.select(F.col("part").alias(RUN)), RUN, "left_semi")
+    ledger = f"{name}_files"
+    notes = store.notes(ledger)
+    parts = (notes.read("parts") or {}).get("parts", {})
+    there = set(store.runs(ledger))
+    if there:
+        found = store.read_with_runs(ledger).groupBy(RUN).count().collect()  # a row for each load
+        whole = {r[RUN] for r in found if r[RUN] in parts and r["count"] == parts[r[RUN]]["rows"]}
+    parts = {p: told for p, told in parts.items() if there and p in whole or not told["rows"]}
+    new = sorted(set(store.runs(name)) - {r for told in parts.values() for r in told["runs"]})
+    if new or not parts:
+        rows = store.read_with_runs(name).where(F.col(RUN).isin(new))
+        lineage = rows.select(*(F.col(f"_metadata.{k}").alias(k) for k in FILE_KEYS), F.col(RUN).alias("run"))
+        part = store.append(ledger, lineage.distinct())
+        parts[part] = {"rows": store.read_run(ledger, part).count(), "runs": new}
+        notes.write("parts", {"parts": parts})
+        there.add(part)
+    held = store.read_with_runs(ledger)
+    if lost := sorted(there - set(parts)):
+        held = held.where(~F.col(RUN).isin(lost))
+    return held.select(*FILE_KEYS)
 
 
 def _seen_by_others(
@@ -223,15 +222,19 @@ def create_control_tables(
 
 
 def load_base(store: Store, raw: str, base: str) -> None:
-    """The base table as the valid rows of raw; only runs that it has not taken are read.
+    """The base table as the valid rows of raw; only files of runs that it has not taken are opened.
 
-    Each run of raw is a run of base, so a load that stopped is made good by the next one.
+    Each run of raw is a run of base, so a load that stopped is made good by the next one. A note beside the base
+    names the runs it has taken, those without a valid row too.
     """
-    rows = store.read_with_runs(raw)
-    if store.exists(base):
-        taken = store.read_with_runs(base).select(RUN).distinct()
-        rows = rows.join(taken, RUN, "left_anti")
-    store.append_derived(base, valid_rows(rows))
+    notes = store.notes(base)
+    taken = (notes.read("taken") or {"runs": []})["runs"]
+    new = sorted(set(store.runs(raw)) - set(taken))
+    if not new:
+        return
+    rows = store.read_with_runs(raw).where(F.col(RUN).isin(new))
+    store.append_derived(base, valid_rows(rows), new)
+    notes.write("taken", {"runs": [*taken, *new]})
 
 
 def _change_rows(store: Store, raw: str, used: list[str]) -> tuple[DataFrame, list[str]]:

@@ -4,7 +4,7 @@ Each append goes to its own ``_load=<run>`` partition. Repeating a run replaces
 partition, so a retried batch or a replayed micro-batch never doubles rows, and no directory is
 the target of Spark's file sink, whose log would hide batch appends from readers.
 
-A table keeps its schema beside its runs, in ``_schema/version=<n>``: the columns of all runs, merged by name
+A table keeps its schema beside its runs, in a note ``_schema``: the columns of all runs, merged by name
 before a run with new ones is written. Every read uses it, so which columns a table has never depends on the
 names or the order of its runs, and no file is opened for it. The same record names the runs that count, if
 not all do, which makes a replacement visible at once or not at all. One job at a time may write a table.
@@ -12,7 +12,6 @@ not all do, which makes a replacement visible at once or not at all. One job at
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeload.sinks.layout import cluster
+from lakeload.sinks.notes import Notes
 from lakeload.streaming.run import query_id, run_available
 
 RUN = "_load"
@@ -67,23 +67,27 @@ class Store:
         """Files below the root that are not a table of runs; None if there are none."""
         return self._load(self.spark.read.format(fmt or self.fmt), self.path(name), "UNABLE_TO_INFER_SCHEMA")
 
-    def _record(self, name: str) -> tuple[int, dict] | None:
-        """The newest version and what it says: ``schema``, and ``runs`` that count (None for all)."""
-        records = self._load(self.spark.read.format("text"), f"{self.path(name)}/_schema", "UNABLE_TO_INFER_SCHEMA")
-        if records is None or "version" not in records.columns:
-            return None
-        newest = records.orderBy(F.desc("version")).limit(1).collect()
-        return (newest[0]["version"], json.loads(newest[0]["value"])) if newest else None
+    def notes(self, name: str) -> Notes:
+        return Notes(self.spark, self.path(name))
 
-    def _keep(self, name: str, version: int, schema: StructType, runs: list[str] | None, before: list[str] | None = None) -> None:
-        line = json.dumps({"schema": schema.jsonValue(), "runs": runs, "before": before})
-        df = self.spark.createDataFrame([(line,)], "value string").coalesce(1)
-        df.write.mode("overwrite").text(f"{self.path(name)}/_schema/version={version}")
+    def _record(self, name: str) -> dict | None:
+        """What the newest record says: ``schema``, and ``runs`` that count (None for all)."""
+        return self.notes(name).read("schema")
+
+    def _keep(self, name: str, schema: StructType, runs: list[str] | None, before: list[str] | None = None) -> None:
+        self.notes(name).write("schema", {"schema": schema.jsonValue(), "runs": runs, "before": before})
+
+    def runs(self, name: str) -> list[str]:
+        """The runs of a table that count, from its folders' names; no file is opened."""
+        record, there = self._record(name), self.notes(name).runs(RUN)
+        if record is None or record["runs"] is None:
+            return there
+        return [r for r in there if r in set(record["runs"])]
 
     def schema(self, name: str) -> StructType | None:
         """The columns of a table, or None if there is no such table."""
         if record := self._record(name):
-            return StructType.fromJson(record[1]["schema"])
+            return StructType.fromJson(record["schema"])
         reader = self.spark.read.format(self.fmt).option("mergeSchema", "true")
         found = self._load(reader, self.path(name), "UNABLE_TO_INFER_SCHEMA")
         return found.drop(RUN).schema if found is not None else None
@@ -94,7 +98,7 @@ class Store:
     def ensure(self, name: str, schema: StructType) -> None:
         """Create an empty table with this schema unless the table exists."""
         if not self.exists(name):
-            self._keep(name, 1, schema, None)
+            self._keep(name, schema, None)
             empty = self.spark.createDataFrame([], schema)
             empty.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}=created")
 
@@ -122,23 +126,28 @@ class Store:
             df = cluster(df, [*parts, *order])
         elif parts:
             df = df.hint("rebalance", *(F.col(c) for c in parts))
-        self._admit(name, df.schema)
+        record = self._admit(name, df.schema)
         target = f"{self.path(name)}/{RUN}={run}"
         df.write.format(self.fmt).mode("overwrite").partitionBy(*parts).save(target)
-        record = self._record(name)
-        if record and record[1]["runs"] is not None and run not in record[1]["runs"]:
-            version, kept = record
-            self._keep(name, version + 1, StructType.fromJson(kept["schema"]), [*kept["runs"], run], kept["before"])
+        self._count(name, record, [run])
         return run
 
-    def _admit(self, name: str, new: StructType) -> None:
-        """Add the columns of a run to the table's schema, before its rows are written."""
-        record, old = self._record(name), self.schema(name)
+    def _admit(self, name: str, new: StructType) -> dict:
+        """Add the columns of a run to the table's schema, before its rows are written; gives the record."""
+        record = self._record(name)
+        old = StructType.fromJson(record["schema"]) if record else self.schema(name)
         schema = merged_schema(old or StructType(), new)
-        if record is None:
-            self._keep(name, 1, schema, None)
-        elif schema.jsonValue() != old.jsonValue():
-            self._keep(name, record[0] + 1, schema, record[1]["runs"], record[1]["before"])
+        if record is None or schema.jsonValue() != old.jsonValue():
+            kept = record or {"runs": None, "before": None}
+            self._keep(name, schema, kept["runs"], kept["before"])
+            record = {**kept, "schema": schema.jsonValue()}
+        return record
+
+    def _count(self, name: str, record: dict, runs: list[str]) -> None:
+        """Let runs count that are written now, if the record says which ones do."""
+        if record["runs"] is not None and not set(runs) <= set(record["runs"]):
+            every = list(dict.fromkeys([*record["runs"], *runs]))
+            self._keep(name, StructType.fromJson(record["schema"]), every, record["before"])
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Write a derived table anew. Readers see the old rows until all new ones are there.
@@ -146,19 +155,20 @@ class Store:
         The rows replaced are kept until the next replacement, for readers at work.
         """
         record, run = self._record(name), run_name(None)
-        version, kept = record or (0, {"runs": None, "before": None})
+        kept = record or {"runs": None, "before": None}
         df.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}={run}")
-        self._keep(name, version + 1, df.schema, [run], kept["runs"])
+        self._keep(name, df.schema, [run], kept["runs"])
         for old in kept["before"] or []:
             empty = self.spark.createDataFrame([], df.schema)
             empty.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}={old}")
 
-    def append_derived(self, name: str, df: DataFrame) -> None:
-        """Append rows that carry their run in ``_load``; runs that are there are replaced."""
-        self._admit(name, df.drop(RUN).schema)
+    def append_derived(self, name: str, df: DataFrame, runs: list[str]) -> None:
+        """Append rows that carry their run in ``_load``, one of ``runs``; runs that are there are replaced."""
+        record = self._admit(name, df.drop(RUN).schema)
         df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).save(
             self.path(name)
         )
+        self._count(name, record, runs)
 
     def read(self, name: str, schema: StructType | None = None) -> DataFrame:
         """The whole table with the columns of all its runs, or those of ``schema``."""
@@ -168,13 +178,13 @@ class Store:
         """The whole table with its run in ``_load``; conditions on it choose directories."""
         record, reader = self._record(name), self.spark.read.format(self.fmt)
         if schema is None and record:
-            schema = StructType.fromJson(record[1]["schema"])
+            schema = StructType.fromJson(record["schema"])
         if schema is not None:
             reader = reader.schema(StructType([*schema.fields, StructField(RUN, StringType())]))
         else:
             reader = reader.option("mergeSchema", "true")
         rows = reader.load(self.path(name))
-        return rows if not record or record[1]["runs"] is None else rows.where(F.col(RUN).isin(record[1]["runs"]))
+        return rows if not record or record["runs"] is None else rows.where(F.col(RUN).isin(record["runs"]))
 
     def read_run(self, name: str, run: str | list[str]) -> DataFrame:
         """The rows of one run, or of some; files of other runs are not opened."""

@@ -88,3 +88,89 @@ def test_no_cross_joins(spark, raw):
     hot = scd2(changes, ["o_orderpriority"], "o_orderkey", split_rows=100)
     for df in (hot, header_footer(raw, 1, "full"), skip_loaded(raw, file_ledger(raw))):
         assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
+
+
+def _raw_with_runs(store, spark, runs):
+    for i in range(runs):
+        rows = spark.range(i * 10, i * 10 + 10, numPartitions=2).selectExpr(
+            "id", "id % 10 <> 3 and {} as _is_valid".format("false" if i == 4 else "true"),
+            f"named_struct('file_path', '/f{i}', 'file_name', 'f{i}', 'file_size', 1L, "
+            "'file_modification_time', timestamp '2024-01-01') as _metadata",
+        )
+        store.append("raw", rows, f"r{i:02d}")
+
+
+def opened_files(df):
+    """Files that the scans of a plan open, after partitions are pruned."""
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        if not leaves.apply(i).nodeName().startswith("Scan parquet"):
+            continue
+        for part in leaves.apply(i).inputRDDs().apply(0).partitions():
+            out += [f.filePath().toString() for f in part.files()]
+    return out
+
+
+def test_base_and_ledger_open_only_new_runs(spark, store, monkeypatch):
+    from lakeload.plans.jobs import load_base, loaded_files
+    from lakeload.sinks.store import Store
+
+    _raw_with_runs(store, spark, 10)
+    load_base(store, "raw", "base")
+    assert loaded_files(store, "raw").count() == 10
+    assert store.read("base").count() == 9 * 9
+
+    written = {}
+
+    def watched(name):
+        usual = getattr(Store, name)
+
+        def run(self, table, df, *rest):
+            written[table] = opened_files(df)
+            return usual(self, table, df, *rest)
+
+        monkeypatch.setattr(Store, name, run)
+
+    watched("append_derived")
+    watched("append")
+    # Nothing new: nothing is read or written, though run 4 has no valid rows and no folder in base.
+    load_base(store, "raw", "base")
+    assert loaded_files(store, "raw").count() == 10 and written == {}
+    store.append("raw", spark.range(1000, 1010, numPartitions=2).selectExpr(
+        "id", "true as _is_valid", "named_struct('file_path', '/new', 'file_name', 'new', 'file_size', 1L, "
+        "'file_modification_time', timestamp '2024-01-01') as _metadata"), "r10")
+    written.clear()
+    load_base(store, "raw", "base")
+    assert loaded_files(store, "raw").count() == 11
+    assert set(written) == {"base", "raw_files"}
+    for files in written.values():
+        assert len(files) == 2 and all("_load=run-r10" in f for f in files)
+    assert store.read("base").count() == 9 * 9 + 10
+
+
+def test_unfinished_parts_of_the_ledger_do_not_count(spark, store):
+    from lakeload.plans.jobs import loaded_files
+
+    _raw_with_runs(store, spark, 2)
+    assert loaded_files(store, "raw").count() == 2
+    # A job that stopped after it had written a part, before the note.
+    store.append("raw_files", store.read("raw_files").limit(1), "stopped")
+    assert loaded_files(store, "raw").count() == 2
+
+
+def test_derived_runs_count_after_a_replacement(spark, store):
+    store.replace("base", spark.range(3).selectExpr("id"))
+    store.append_derived("base", spark.range(5, 7).selectExpr("id", "'run-x' as _load"), ["run-x"])
+    assert sorted(r.id for r in store.read("base").collect()) == [0, 1, 2, 5, 6]
+
+
+def test_two_writers_of_one_note(spark, store):
+    import pytest
+
+    notes, other = store.notes("t"), store.notes("t")
+    notes.write("schema", {"a": 1})
+    other._versions = lambda kind: []
+    with pytest.raises(OSError):
+        other.write("schema", {"a": 2})
+    assert notes.read("schema") == {"a": 1} and notes.read("none") is None
