@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeload.sources.schema import CORRUPT_COLUMN, FOOTER_DDL, HEADER_DDL
 
+# Names of the stored columns, and those that a header and its footer share.
 _FILE_COLUMNS = [
     "file_path", "file_name", "file_size", "file_modification_time",
     "file_block_start", "file_block_length",
@@ -68,16 +69,22 @@ def header_footer(raw: DataFrame, process_id: int | None = None, how: str = "inn
     )
 
 
-def header_footer_stream(raw: DataFrame, watermark: str | None = None) -> DataFrame:
-    """The inner match on a raw stream. Unmatched records wait in the join state.
+def header_footer_stream(raw: DataFrame, watermark: str | None = None, how: str = "inner") -> DataFrame:
+    """The match of ``header_footer`` on a raw stream. Unmatched records wait in the join state.
 
     With ``watermark`` (for example ``"2 days"``) on the load time, a record whose partner has
-    not come within that delay is dropped from the state, which bounds it; without it the state
-    of unmatched records is kept for good.
+    not come within that delay leaves the state, which bounds it; ``inner`` drops it, ``full`` gives it out with
+    nulls on the other side. Without a watermark, which ``full`` needs, unmatched records are kept for good.
+    Records that come later than the watermark allows are left out.
     """
+    if how not in ("inner", "full"):
+        raise ValueError(f"how must be 'inner' or 'full', got {how!r}")
+    if how == "full" and not watermark:
+        raise ValueError("a full match on a stream needs a watermark, or missing records would never come out")
+    shared = _FILE_COLUMNS + _SYSTEM_COLUMNS
     header = parse_control(raw, "header")
-    footer = _footer_side(raw, None, [*_MATCH, "_load_date"])
-    condition = _matches()
+    footer = _footer_side(raw, None, shared if how == "full" else [*_MATCH, "_load_date"])
+    condition = _matches(nulls_match=how == "full")
     if watermark:
         header = header.withWatermark("_load_date", watermark)
         footer = footer.withWatermark("_f__load_date", watermark)
@@ -85,6 +92,7 @@ def header_footer_stream(raw: DataFrame, watermark: str | None = None) -> DataFr
         condition = condition & F.col("_f__load_date").between(
             F.col("_load_date") - delay, F.col("_load_date") + delay
         )
-    return header.join(footer, condition, "inner").select(
-        "header", "raw_header", "footer", "raw_footer", *_FILE_COLUMNS, *_SYSTEM_COLUMNS
+    return header.join(footer, condition, how).select(
+        "header", "raw_header", "footer", "raw_footer",
+        *(F.coalesce(c, f"_f_{c}").alias(c) if how == "full" else F.col(c) for c in shared),
     )

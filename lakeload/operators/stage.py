@@ -64,7 +64,7 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def inserted_rows(changes: DataFrame) -> DataFrame:
-    """The inserts of a table's change feed, without the feed's own columns.
+    """The inserts of a table's change feed, as ``change_feed`` computes it, without the feed's own columns.
 
     An append-only table read as a stream gives the same rows without a feed.
     """

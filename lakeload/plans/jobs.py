@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lakeload.operators.audit import audit, enforce_thresholds
 from lakeload.operators.cdc import apply_cdc, scd2
 from lakeload.operators.control import header_footer, header_footer_stream
+from lakeload.operators.feed import change_feed
 from lakeload.operators.ledger import file_ledger, new_paths, skip_loaded, without_files
+from lakeload.operators.skew import same_keys
+from lakeload.operators.splice import Splicer
 from lakeload.operators.stage import stage, valid_rows
 from lakeload.sinks.scratch import scratch_dir
-from lakeload.sinks.store import RUN, Store
+from lakeload.sinks.store import RUN, Store, run_name
 from lakeload.sources.files import FILE_KEYS, same_reading
 from lakeload.sources.landing import read_landing, stream_landing
 from lakeload.sources.schema import AUDIT_SCHEMA, CONTROL_AUDIT_SCHEMA, HEADER_FOOTER_SCHEMA
 
+#: Partition column of histories kept in buckets.
+BUCKET = "_bucket"
+
 
 def loaded_files(store: Store, name: str) -> DataFrame:
     """The files a raw table holds, kept in the table ``<name>_files``.
@@ -165,6 +173,7 @@ def load_header_footer(
     run: str | None = None,
     state_partitions: int | None = None,
     raw_run: str | list[str] | None = None,
+    how: str = "inner",
 ) -> None:
     """Extract the control records of a loaded process (batch) or of all new rows (stream).
 
@@ -174,10 +183,10 @@ def load_header_footer(
     store.ensure(name, HEADER_FOOTER_SCHEMA)
     if mode == "stream":
         rows = store.read_stream(raw)
-        matched = header_footer_stream(rows, watermark)
+        matched = header_footer_stream(rows, watermark, how)
         store.append_stream(name, matched, checkpoint, state_partitions=state_partitions)
     else:
-        store.append(name, header_footer(_loaded(store, raw, raw_run), process_id), run)
+        store.append(name, header_footer(_loaded(store, raw, raw_run), process_id, how), run)
 
 
 def load_audit(
@@ -237,9 +246,11 @@ def load_base(store: Store, raw: str, base: str) -> None:
     notes.write("taken", {"runs": [*taken, *new]})
 
 
-def _change_rows(store: Store, raw: str, used: list[str]) -> tuple[DataFrame, list[str]]:
-    """The valid source rows of raw, with the system columns a sequence uses, and those columns."""
-    rows = store.read(raw)
+def _change_rows(
+    store: Store, raw: str, used: list[str], runs: list[str] | None = None
+) -> tuple[DataFrame, list[str]]:
+    """The valid source rows of raw, or of some runs, with the system columns a sequence uses, and those columns."""
+    rows = store.read(raw) if runs is None else store.read_with_runs(raw).where(F.col(RUN).isin(runs)).drop(RUN)
     if "_is_valid" in rows.columns:
         rows = valid_rows(rows)
     system = [c for c in used if c.startswith("_")]
@@ -281,6 +292,77 @@ def load_history(
     )
 
 
+def splice_history(
+    store: Store,
+    raw: str,
+    base: str,
+    keys: list[str],
+    sequence_by: str | list[str],
+    except_cols: tuple[str, ...] = (),
+    tie_cols: tuple[str, ...] = (),
+    buckets: int = 64,
+    **how,
+) -> None:
+    """Bring a type 2 history up to date with the runs of raw that it has not taken, in any order of time.
+
+    The history is kept as spans in hash buckets of the key. Only buckets with a changed key are read and written;
+    keys of such a bucket without a change go over as they are. One note names the runs taken and the run that holds each bucket, so
+    a step counts as a whole or not at all, and readers see the old or the new state. The log is not read, but for
+    keys with a change inside a span. Folders that neither this state nor the one before needs are deleted.
+    A key's spans meet in one task, in a sort that spills.
+    """
+    notes = store.notes(base)
+    state = notes.read("history") or {"buckets": buckets, "runs": [], "holds": {}, "before": []}
+    new = sorted(set(store.runs(raw)) - set(state["runs"]))
+    if not new:
+        return
+    sequence = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
+    rows, system = _change_rows(store, raw, [*sequence, *tie_cols], new)
+    splicer = Splicer(keys, sequence, (*except_cols, *system), tie_cols, **how)
+    place = F.pmod(F.xxhash64(*keys), F.lit(state["buckets"])).cast("int")
+    touched = [r[0] for r in rows.select(place.alias("b")).distinct().collect()]  # at most one for each bucket
+    old = _spans_of(store, base, {b: r for b, r in state["holds"].items() if int(b) in touched})
+    spliced = splicer.splice(old, rows, lambda: _change_rows(store, raw, [*sequence, *tie_cols], [*state["runs"], *new])[0])
+    if old is not None:
+        own = rows.select(*keys).distinct()
+        others = old.alias("s").join(own.alias("k"), same_keys("s", "k", keys), "left_anti")
+        spliced = spliced.unionByName(others)
+    run = run_name(None)
+    bucketed = spliced.withColumn(BUCKET, place)
+    target = f"{store.path(base)}/{RUN}={run}"
+    bucketed.hint("rebalance", F.col(BUCKET)).write.format(store.fmt).partitionBy(BUCKET).save(target)
+    holds = {**state["holds"], **{str(b): run for b in touched}}
+    notes.write("history", {
+        "buckets": state["buckets"], "runs": [*state["runs"], *new], "holds": holds,
+        "before": sorted(set(state["holds"].values())), "schema": spliced.schema.jsonValue(), "output": splicer.output(rows),
+    })
+    notes.drop_runs(RUN, set(holds.values()) | set(state["holds"].values()))
+
+
+def _spans_of(store: Store, base: str, holds: dict[str, str]) -> DataFrame | None:
+    """The spans of some buckets, given the run that holds each; other folders are not opened."""
+    if not holds:
+        return None
+    kept = StructType.fromJson(store.notes(base).read("history")["schema"])
+    whole = StructType([*kept.fields, StructField(RUN, StringType()), StructField(BUCKET, IntegerType())])
+    by_run: dict[str, list[int]] = {}
+    for bucket, run in holds.items():
+        by_run.setdefault(run, []).append(int(bucket))
+    chosen = reduce(lambda a, b: a | b, ((F.col(RUN) == r) & F.col(BUCKET).isin(b) for r, b in by_run.items()))
+    return store.spark.read.schema(whole).format(store.fmt).load(store.path(base)).where(chosen).drop(RUN, BUCKET)
+
+
+def read_spliced(store: Store, base: str, keys: list[str], sequence_by: str | list[str]) -> DataFrame:
+    """The versions of a history that ``splice_history`` keeps up."""
+    state = store.notes(base).read("history")
+    return Splicer(keys, sequence_by).versions(_spans_of(store, base, state["holds"]), state["output"])
+
+
+def table_changes(store: Store, name: str, keys: list[str]) -> DataFrame:
+    """The change feed of a table since before its last replacement; the runs appended after that are in it."""
+    return change_feed(store.read_before(name), store.read_with_runs(name), keys, store.runs(name)[0], RUN)
+
+
 def build_customers(
     details: list[DataFrame], preferences: DataFrame, key: str = "id"
 ) -> DataFrame:

@@ -35,6 +35,9 @@ from lakeload.plans.jobs import (
     load_header_footer,
     load_history,
     load_raw,
+    read_spliced,
+    splice_history,
+    table_changes,
 )
 from lakeload.sinks.scratch import scratch_dir
 from lakeload.sinks.store import Store
@@ -334,6 +337,30 @@ def header_footer_streamed(spark, sf_dir):
     return store.read("header_footer").selectExpr(*_CONTROL)
 
 
+@query(f"""
+    with d as ({_DAYS_SQL})
+    select 'events-' || day || '.csv' as file_name, cast(day as int) % 3 <> 0 as has_header,
+           complete as has_footer, _slice_date
+    from d where cast(day as int) % 3 <> 0 or complete
+""")
+def header_footer_missing_streamed(spark, sf_dir):
+    """The full match as a stream: files of which one record is missing come out when their delay has passed."""
+    store = new_store(spark, "late")
+    loads = ((1, "2024-01-01", False), (2, "2024-01-09", True))
+    for process, day, complete in loads:  # the second load only lets the time of the first one pass
+        raw = raw_control(spark, sf_dir, complete=complete).withColumn("_load_date", F.lit(day).cast("timestamp"))
+        store.append("raw", raw.withColumn("_process_id", F.lit(process).cast("long")))
+        load_header_footer(
+            store, "raw", "matched", process, "stream", store.path("checkpoint"), "2 days", state_partitions=4, how="full"
+        )
+    return store.read("matched").where("_process_id = 1").select(
+        "file_name",
+        F.col("raw_header").isNotNull().alias("has_header"),
+        F.col("raw_footer").isNotNull().alias("has_footer"),
+        "_slice_date",
+    )
+
+
 # ---------------------------------------------------------------------------------------------
 # Audits
 
@@ -615,15 +642,32 @@ def orders_in_two_steps(spark, sf_dir):
     return store.read("raw").where(F.col("month") == F.month("o_orderdate")).select(*_ORDERS)
 
 
+def _two_states(spark, sf_dir):
+    """A stored table that was replaced: finished orders have gone, open ones have come, urgent ones cost more."""
+    store = new_store(spark, "feed")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    dearer = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    store.replace("orders", orders.where("o_orderstatus <> 'O'"))
+    store.replace("orders", orders.where("o_orderstatus <> 'F'").withColumn("o_totalprice", dearer))
+    return store
+
+
+@query("""
+    select o_orderkey, o_totalprice + case when kind = 'update_postimage' or (kind = 'insert' and o_orderpriority = '1-URGENT')
+               then 1 else 0 end as o_totalprice, kind as _change_type
+    from (select *, unnest(case when o_orderstatus = 'O' then ['insert'] when o_orderstatus = 'F' then ['delete']
+               when o_orderpriority = '1-URGENT' then ['update_preimage', 'update_postimage'] else [] end) as kind from orders)
+""")
+def change_feed_orders(spark, sf_dir):
+    """What a replacement of a table changed, row by row."""
+    return table_changes(_two_states(spark, sf_dir), "orders", ["o_orderkey"]).select("o_orderkey", "o_totalprice", "_change_type")
+
+
 @query("select o_orderkey, o_orderstatus from orders where o_orderstatus = 'O'")
 def inserted_rows_orders(spark, sf_dir):
-    """The inserts of a change feed that also has updates and deletes."""
-    kind = F.expr("case o_orderstatus when 'O' then 'insert' when 'F' then 'update_postimage' else 'delete' end")
-    feed = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", kind.alias("_change_type"),
-        F.lit(1).alias("_commit_version"), F.current_timestamp().alias("_commit_timestamp"),
-    )
-    return inserted_rows(feed)
+    """The inserts of a computed change feed that also has updates and deletes."""
+    feed = table_changes(_two_states(spark, sf_dir), "orders", ["o_orderkey"])
+    return inserted_rows(feed).select("o_orderkey", "o_orderstatus")
 
 
 @query(f"""
@@ -735,6 +779,18 @@ def _status_columns(versions: DataFrame, key: str) -> DataFrame:
     )
 
 
+@query(_status_sql("o_custkey"))
+def history_in_steps(spark, sf_dir):
+    """A history brought up to date in three steps that are out of order: the newest years, the oldest, those between."""
+    store = new_store(spark, "spliced")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
+    how = (["o_custkey"], ["o_orderdate", "o_orderkey"])
+    for years in ((1996, 9999), (0, 1993), (1994, 1995)):
+        store.append("raw", orders.where(F.year("o_orderdate").between(*years)))
+        splice_history(store, "raw", "base", *how, except_cols=("o_orderdate", "o_orderkey"), buckets=8)
+    return _status_columns(read_spliced(store, "base", *how), "o_custkey")
+
+
 @query("""
     with late as (select *, date_trunc('day', ts) as _slice_date from events)
     select user_id, event_id, event_type, value from (

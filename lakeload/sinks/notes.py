@@ -60,3 +60,9 @@ class Notes:
             raise OSError(f"version {number} of {place} is there already: two jobs write this table")
         for old in versions[:-1]:
             self.fs.delete(self._path(f"{place}/{old}"), False)
+
+    def drop_runs(self, column: str, kept: set[str]) -> None:
+        """Delete the folders of all values of the partition ``column`` but those kept."""
+        for run in self.runs(column):
+            if run not in kept:
+                self.fs.delete(self._path(f"{self.folder}/{column}={run}"), True)

@@ -162,6 +162,14 @@ class Store:
             empty = self.spark.createDataFrame([], df.schema)
             empty.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}={old}")
 
+    def read_before(self, name: str) -> DataFrame:
+        """The table as it was before its last replacement."""
+        record = self._record(name)
+        if not record or not record["before"]:
+            raise ValueError(f"{name} has not been replaced")
+        rows = self.spark.read.format(self.fmt).option("mergeSchema", "true").load(self.path(name))
+        return rows.where(F.col(RUN).isin(record["before"])).drop(RUN)
+
     def append_derived(self, name: str, df: DataFrame, runs: list[str]) -> None:
         """Append rows that carry their run in ``_load``, one of ``runs``; runs that are there are replaced."""
         record = self._admit(name, df.drop(RUN).schema)
