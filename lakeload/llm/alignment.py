@@ -163,7 +163,7 @@ class _BySegment:
         self.all = self.segments.all
 
     def _joined(self, found: list[str]) -> list:
-        cut = [parts(" " + s) for s in found]
+        cut = [[" " + s] if s.isalnum() else parts(" " + s) for s in found]
         made = self.parts.all(set().union(*cut))
         return [made[c[0]] if len(c) == 1 else self.join([made[p] for p in c]) for c in cut]
 
@@ -302,15 +302,16 @@ def _scored(aligned: list[Aligned | None], table: hashing.Table, n: np.ndarray,
 
 
 def _sums(data: Iterable[bytes]) -> np.ndarray:
+    """The numbers of all parts, added up."""
     return np.frombuffer(b"".join(data), np.int64).reshape(-1, len(SCORES)).sum(0)
 
 
 def _together(made: list) -> tuple | None:
-    """The scores of a segment from those of its parts."""
+    """The scores of a segment: those of its parts beside each other."""
     if None in made:
         return None
     numbers, texts, rests = zip(*made)
-    return _sums(numbers).tobytes(), ";".join(texts), [p for r in rests if r for p in r] or None
+    return b"".join(numbers), ";".join(texts), [p for r in rests if r for p in r] or None
 
 
 def _row(found: list, groups: bool) -> tuple:
