@@ -34,7 +34,7 @@ from lakeload.llm.common import Remembered, per_batch, short_batches, stored
 
 #: Most words that are broadcast, most bytes in one, and words, and stretches, that a task remembers besides
 #: in each of two generations; words and stretches it counts before it passes them on.
-FREQUENT, LONGEST, REMEMBERED, COUNTED = 1 << 17, 48, 120_000, 300_000
+FREQUENT, LONGEST, REMEMBERED, COUNTED = 1 << 18, 48, 120_000, 300_000
 #: Maps in the literal of ranks; a rank is sought in one of them.
 MAPS = 1 << 15
 #: Stands for no rank.
