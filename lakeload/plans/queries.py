@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -612,6 +613,37 @@ def schema_evolution_append(spark, sf_dir):
     return store.read("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
+@query("""
+    select t as run_order, o_orderkey, cast(case when o_orderstatus = 'F' then floor(o_totalprice)
+        else cast(o_totalprice as decimal(14, 2)) end as double) as price,
+      case when o_orderstatus = 'F' then cast(cast(o_totalprice as float) as double) else o_totalprice end as amount,
+      'bigint, decimal(14,2), double' as types
+    from orders, (values ('narrow first'), ('wide first')) v(t)
+""")
+def widened_append(spark, sf_dir):
+    """Runs with narrow and wide types of the same columns, in both orders of writing and of run names."""
+    store = new_store(spark, "widened")
+    orders = table(spark, sf_dir, "orders")
+    narrow = orders.where("o_orderstatus = 'F'").selectExpr(
+        "cast(o_orderkey as int) as o_orderkey", "cast(floor(o_totalprice) as int) as price",
+        "cast(o_totalprice as float) as amount",
+    )
+    wide = orders.where("o_orderstatus <> 'F'").selectExpr(
+        "cast(o_orderkey as long) as o_orderkey", "cast(o_totalprice as decimal(14, 2)) as price",
+        "cast(o_totalprice as double) as amount",
+    )
+    for name, steps in (("narrow first", (narrow, wide)), ("wide first", (wide, narrow))):
+        for run, rows in zip(("b", "a"), steps):
+            store.append(name.replace(" ", "_"), rows, run)
+    return reduce(DataFrame.unionByName, (
+        store.read(name.replace(" ", "_")).select(
+            F.lit(name).alias("run_order"), "o_orderkey", F.col("price").cast("double").alias("price"), "amount",
+            F.lit(", ".join(f.dataType.simpleString() for f in store.schema(name.replace(" ", "_")))).alias("types"),
+        )
+        for name in ("narrow first", "wide first")
+    ))
+
+
 @query("""
     select o_orderkey, o_orderstatus, case when o_orderstatus <> 'F' then o_orderpriority end as o_orderpriority
     from orders

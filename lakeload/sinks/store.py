@@ -6,7 +6,8 @@ the target of Spark's file sink, whose log would hide batch appends from readers
 
 A table keeps its schema beside its runs, in a note ``_schema``: the columns of all runs, merged by name
 before a run with new ones is written. Every read uses it, so which columns a table has never depends on the
-names or the order of its runs, and no file is opened for it. The same record names the runs that count, if
+names or the order of its runs, and no file is opened for it. A column may widen from run to run; files of older
+runs keep the narrow type and the Parquet reader widens what it reads. The same record names the runs that count, if
 not all do, which makes a replacement visible at once or not at all. One job at a time may write a table.
 """
 
@@ -22,21 +23,23 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeload.sinks.layout import cluster
 from lakeload.sinks.notes import Notes
+from lakeload.sinks.types import wider
 from lakeload.streaming.run import query_id, run_available
 
 RUN = "_load"
 
 
 def merged_schema(old: StructType, new: StructType) -> StructType:
-    """The columns of both, the old ones first; one name must have one type."""
-    known = {f.name: f for f in old.fields}
+    """The columns of both, the old ones first; a column in both gets the type that holds the values of both."""
+    kinds = {f.name: f.dataType for f in old.fields}
     for f in new.fields:
-        if f.name in known and known[f.name].dataType.simpleString() != f.dataType.simpleString():
+        kind = wider(kinds.get(f.name, f.dataType), f.dataType)
+        if kind is None:
             raise ValueError(
-                f"column {f.name} is {known[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}"
+                f"column {f.name} is {kinds[f.name].simpleString()}, not {f.dataType.simpleString()}"
             )
-    every = [*old.fields, *(f for f in new.fields if f.name not in known)]
-    return StructType([StructField(f.name, f.dataType, True) for f in every])
+        kinds[f.name] = kind
+    return StructType([StructField(name, kind, True) for name, kind in kinds.items()])
 
 
 def run_name(run: str | None) -> str:
