@@ -747,6 +747,19 @@ def clustered_layout(spark, sf_dir):
     return store.read("orders").select(*_ORDERS)
 
 
+@query("""
+    select l_orderkey, l_linenumber, l_partkey, l_shipdate from lineitem
+    where l_partkey between 100 and 110 or l_shipdate >= (select max(l_shipdate) from lineitem) - interval 30 day
+""")
+def interleaved_layout(spark, sf_dir):
+    """Two columns clustered together; the filter on either reads part of the row groups."""
+    store = new_store(spark, "interleaved")
+    store.append("lineitem", table(spark, sf_dir, "lineitem"), cluster_by=["l_shipdate", "l_partkey"])
+    rows = store.read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    recent = rows.agg(F.max("l_shipdate") - F.expr("interval 30 days")).first()[0]
+    return rows.where(F.col("l_partkey").between(100, 110) | (F.col("l_shipdate") >= F.lit(recent)))
+
+
 @query("select o_orderkey, o_totalprice, cast(o_orderdate as date) as order_day from orders")
 def partitioned_layout(spark, sf_dir):
     """Partitions by month; within the year asked for, only its directories are read."""

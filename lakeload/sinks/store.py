@@ -117,7 +117,7 @@ class Store:
 
         ``partition_by`` maps partition column names to expressions; the rows are rebalanced by
         them first, which splits a hot partition over tasks and packs small ones. ``cluster_by``
-        range-sorts instead, within the partitions. Rows of one run share their load time, so clustering by that column
+        range-sorts instead, within the partitions; several columns are interleaved. Rows of one run share their load time, so clustering by that column
         needs no work: every file of a run already has a single value.
         """
         run = run_name(run)
@@ -126,7 +126,7 @@ class Store:
         df = df.withColumns(parts) if parts else df
         if order:
             # The writer sorts by partition first, so that comes first here too.
-            df = cluster(df, [*parts, *order])
+            df = cluster(df, order, first=list(parts))
         elif parts:
             df = df.hint("rebalance", *(F.col(c) for c in parts))
         record = self._admit(name, df.schema)
