@@ -41,7 +41,7 @@ from lakeload.plans.jobs import (
     table_changes,
 )
 from lakeload.sinks.scratch import scratch_dir
-from lakeload.sinks.store import Store
+from lakeload.sinks.store import BrokenRules, Store
 from lakeload.sources.files import ready_slices
 from lakeload.sources.landing import CONTROL_CSV, DELIMITED_CSV, landing_glob, read_landing
 from lakeload.sources.schema import infer_schema, load_schema, merge_hints, save_schema
@@ -1023,6 +1023,30 @@ def constraints_quarantine(spark, sf_dir):
     )
 
 
+@query("""
+    select 'table' as place, l_orderkey, l_linenumber, '' as failed from lineitem where l_discount <= 0.05
+    union all
+    select 'aside', l_orderkey, l_linenumber, case when l_tax >= 0.08 then 'discount,tax' else 'discount' end
+    from lineitem where l_discount > 0.05
+""")
+def constraints_on_write(spark, sf_dir):
+    """Rules kept with a table: the run that breaks them is refused and its failing rows are shown."""
+    store = new_store(spark, "enforced")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_tax")
+    store.constrain("lines", {"discount": "l_discount <= 0.05", "tax": "l_discount <= 0.05 or l_tax < 0.08"})
+    store.append("lines", lines.where("l_discount <= 0.05"), "good")
+    try:
+        store.append("lines", lines.where("l_discount > 0.05"), "bad")
+    except BrokenRules as refused:
+        aside = store.left_aside("lines", refused.runs)
+    return (
+        store.read("lines").select(F.lit("table").alias("place"), "l_orderkey", "l_linenumber", F.lit("").alias("failed"))
+        .unionByName(aside.select(
+            F.lit("aside").alias("place"), "l_orderkey", "l_linenumber", F.concat_ws(",", "_failed").alias("failed")
+        ))
+    )
+
+
 @query("""
     select 'events-' || strftime(ts, '%Y%m%d') || '.csv' as file_name, event_type <> 'error' as _is_valid,
            count(*) as row_count

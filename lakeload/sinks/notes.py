@@ -61,6 +61,17 @@ class Notes:
         for old in versions[:-1]:
             self.fs.delete(self._path(f"{place}/{old}"), False)
 
+    def move_runs(self, column: str, source: str, runs: list[str]) -> None:
+        """Move folders of the partition ``column`` from the folder ``source`` into the table; they replace their like."""
+        there = {unquote(n): n for n in self.names(source)}
+        for run in runs:
+            if (name := there.get(f"{column}={run}")) is None:
+                continue
+            target = self._path(f"{self.folder}/{name}")
+            self.fs.delete(target, True)
+            if not self.fs.rename(self._path(f"{source}/{name}"), target):
+                raise OSError(f"{source}/{name} could not be moved into the table")
+
     def drop_runs(self, column: str, kept: set[str]) -> None:
         """Delete the folders of all values of the partition ``column`` but those kept."""
         for run in self.runs(column):

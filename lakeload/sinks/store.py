@@ -9,18 +9,23 @@ before a run with new ones is written. Every read uses it, so which columns a ta
 names or the order of its runs, and no file is opened for it. A column may widen from run to run; files of older
 runs keep the narrow type and the Parquet reader widens what it reads. The same record names the runs that count, if
 not all do, which makes a replacement visible at once or not at all. One job at a time may write a table.
+
+Rules kept with a table (``constrain``) hold for every write. Its rows go to a hidden folder first, are checked there
+once, and are moved into the table if all rules hold; else they stay aside and no reader, batch or stream, sees them.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeload.operators.quality import check_constraints, split_constraints
 from lakeload.sinks.layout import cluster
 from lakeload.sinks.notes import Notes
 from lakeload.sinks.types import wider
@@ -29,6 +34,14 @@ from lakeload.streaming.run import query_id, run_available
 RUN = "_load"
 
 
+class BrokenRules(ValueError):
+    """A write that breaks rules of its table; ``failed`` maps each broken rule to its number of rows."""
+
+    def __init__(self, name: str, failed: dict[str, int], runs: list[str]):
+        super().__init__(f"{name}: {', '.join(f'{rule} fails on {n} rows' for rule, n in failed.items())}")
+        self.name, self.failed, self.runs = name, failed, runs
+
+
 def merged_schema(old: StructType, new: StructType) -> StructType:
     """The columns of both, the old ones first; a column in both gets the type that holds the values of both."""
     kinds = {f.name: f.dataType for f in old.fields}
@@ -42,6 +55,12 @@ def merged_schema(old: StructType, new: StructType) -> StructType:
     return StructType([StructField(name, kind, True) for name, kind in kinds.items()])
 
 
+def _failures(rows: DataFrame, rules: dict[str, str]) -> dict[str, int]:
+    """Broken rules with their numbers of rows, all counted in one pass."""
+    report = check_constraints(rows, rules).where("failed_rows > 0").collect()  # a row for each rule
+    return {r["constraint_name"]: r["failed_rows"] for r in report}
+
+
 def run_name(run: str | None) -> str:
     """A run's directory name; it starts with a letter, so Spark reads it back as text."""
     run = run or uuid.uuid4().hex
@@ -129,12 +148,64 @@ class Store:
             df = cluster(df, order, first=list(parts))
         elif parts:
             df = df.hint("rebalance", *(F.col(c) for c in parts))
-        record = self._admit(name, df.schema)
-        target = f"{self.path(name)}/{RUN}={run}"
-        df.write.format(self.fmt).mode("overwrite").partitionBy(*parts).save(target)
+        rules = self.rules(name)
+        self._check_columns(rules, df)
+        record = None if rules else self._admit(name, df.schema)
+        folder = self._aside(name) if rules else self.path(name)
+        df.write.format(self.fmt).mode("overwrite").partitionBy(*parts).save(f"{folder}/{RUN}={run}")
+        if rules:
+            self._enforce(name, rules, df.schema, [run])
+            record = self._admit(name, df.schema)
+            self.notes(name).move_runs(RUN, folder, [run])
         self._count(name, record, [run])
         return run
 
+    def constrain(self, name: str, rules: dict[str, str]) -> None:
+        """Keep rules, conditions by name, that all rows of a table must meet from now on.
+
+        Rows that are there are checked first. A null result is a failure. No rules lift those there are.
+        """
+        if rules and self.exists(name):
+            self._check_columns(rules, self.read(name))
+            if failed := _failures(self.read(name), rules):
+                raise BrokenRules(name, failed, self.runs(name))
+        self.notes(name).write("rules", rules)
+
+    def rules(self, name: str) -> dict[str, str]:
+        return self.notes(name).read("rules") or {}
+
+    def left_aside(self, name: str, run: str | list[str]) -> DataFrame:
+        """Rows of refused runs that break rules, with the names of these in ``_failed``.
+
+        They are kept until the run is written again.
+        """
+        runs = [run_name(r) for r in ([run] if isinstance(run, str) else run)]
+        rows = self._read_aside(name, runs, self.spark.read.option("mergeSchema", "true"))
+        if rows is None:
+            raise ValueError(f"no rows of {name} are left aside for {', '.join(runs)}")
+        return split_constraints(rows.drop(RUN), self.rules(name))[1]
+
+    def _read_aside(self, name: str, runs: list[str], reader) -> DataFrame | None:
+        """Rows of runs in the hidden folder; only these runs' folders are listed. None if there are none."""
+        notes, folder = self.notes(name), self._aside(name)
+        there = [f"{folder}/{n}" for n in notes.names(folder) if unquote(n) in {f"{RUN}={r}" for r in runs}]
+        there = [p for p in there if notes.names(p)]
+        return reader.format(self.fmt).option("basePath", folder).load(there) if there else None
+
+    def _aside(self, name: str) -> str:
+        return f"{self.path(name)}/_aside"
+
+    def _check_columns(self, rules: dict[str, str], df: DataFrame) -> None:
+        """Fail before anything is written if a rule cannot be computed, a column that it names being absent."""
+        if rules:
+            df.select(*(F.expr(rule) for rule in rules.values()))
+
+    def _enforce(self, name: str, rules: dict[str, str], schema: StructType, runs: list[str]) -> None:
+        full = StructType([*(f for f in schema.fields if f.name != RUN), StructField(RUN, StringType())])
+        rows = self._read_aside(name, runs, self.spark.read.schema(full))
+        if rows is not None and (failed := _failures(rows, rules)):
+            raise BrokenRules(name, failed, runs)
+
     def _admit(self, name: str, new: StructType) -> dict:
         """Add the columns of a run to the table's schema, before its rows are written; gives the record."""
         record = self._record(name)
@@ -158,8 +229,17 @@ class Store:
         The rows replaced are kept until the next replacement, for readers at work.
         """
         record, run = self._record(name), run_name(None)
-        kept = record or {"runs": None, "before": None}
-        df.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}={run}")
+        kept, rules = record or {"runs": None, "before": None}, self.rules(name)
+        self._check_columns(rules, df)
+        folder = self._aside(name) if rules else self.path(name)
+        df.write.format(self.fmt).mode("overwrite").save(f"{folder}/{RUN}={run}")
+        if rules:
+            self._enforce(name, rules, df.schema, [run])
+            # The new run must not count before the record says so.
+            if kept["runs"] is None and (old := self.schema(name)):
+                kept = {**kept, "runs": self.runs(name)}
+                self._keep(name, old, kept["runs"], kept["before"])
+            self.notes(name).move_runs(RUN, folder, [run])
         self._keep(name, df.schema, [run], kept["runs"])
         for old in kept["before"] or []:
             empty = self.spark.createDataFrame([], df.schema)
@@ -175,10 +255,17 @@ class Store:
 
     def append_derived(self, name: str, df: DataFrame, runs: list[str]) -> None:
         """Append rows that carry their run in ``_load``, one of ``runs``; runs that are there are replaced."""
-        record = self._admit(name, df.drop(RUN).schema)
+        rules = self.rules(name)
+        self._check_columns(rules, df)
+        record = None if rules else self._admit(name, df.drop(RUN).schema)
+        folder = self._aside(name) if rules else self.path(name)
         df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).save(
-            self.path(name)
+            folder
         )
+        if rules:
+            self._enforce(name, rules, df.schema, runs)
+            record = self._admit(name, df.drop(RUN).schema)
+            self.notes(name).move_runs(RUN, folder, runs)
         self._count(name, record, runs)
 
     def read(self, name: str, schema: StructType | None = None) -> DataFrame:
