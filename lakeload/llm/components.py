@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import stored
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b") % (1 << 40)).alias("h")).head()
-    return r["n"], r["h"] or 0
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges as written, with their number and a sum over their hashes, both taken while they are written."""
+    seen = Observation()
+    told = (F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b") % (1 << 40)).alias("h"))
+    now = stored(edges.observe(seen, *told), "edges")
+    return now, (seen.get["n"], seen.get["h"] or 0)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,22 +21,21 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two star steps until nothing changes. Each node hands the smallest neighbour to the others, by
     an aggregation that combines before the shuffle and a join, so no neighbourhood is held in one place. Every
-    round is written to the shared folder.
+    round is one job, written to the shared folder; an edge found twice counts once from the next round on.
     """
-    now = stored(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
+    now, state = _kept(
+        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
-    before, state = None, _state(now)
+    before = None
     while state != before:
         # Each node's larger neighbours move to its smallest neighbour ...
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # ... and then it and its smaller neighbours do.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         moved = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = stored(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        before, state = state, _state(now)
+        before, (now, state) = state, _kept(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct())
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
