@@ -279,7 +279,9 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     roots = components(links)
     more = stored(_outsiders(stars, sets, roots, near), "more-links")
     if more.limit(1).count():
-        roots = components(links.unionByName(more))
+        # What is joined already needs no further rounds: a node and its root stand for all their links.
+        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(joined.unionByName(more))
     roots = stored(roots, "roots")
 
     of_node = nodes.select("node", "fp", "doc_id").join(roots, "node", "left").withColumn(
