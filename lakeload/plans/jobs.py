@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +46,8 @@ def loaded_files(store: Store, name: str) -> DataFrame:
     parts = {p: told for p, told in parts.items() if there and p in whole or not told["rows"]}
     new = sorted(set(store.runs(name)) - {r for told in parts.values() for r in told["runs"]})
     if new or not parts:
-        rows = store.read_with_runs(name).where(F.col(RUN).isin(new))
+        # Files whose rows have all expired are loaded files too.
+        rows = store.read_with_runs(name, bounded=False).where(F.col(RUN).isin(new))
         lineage = rows.select(*(F.col(f"_metadata.{k}").alias(k) for k in FILE_KEYS), F.col(RUN).alias("run"))
         part = store.append(ledger, lineage.distinct())
         parts[part] = {"rows": store.read_run(ledger, part).count(), "runs": new}
@@ -139,6 +141,15 @@ def load_raw(
     raise ValueError(f"mode must be 'batch' or 'stream', got {mode!r}")
 
 
+def expire_raw(
+    store: Store, name: str, days: int, as_of: dt.datetime | str | None = None, column: str = "_slice_date"
+) -> list[str]:
+    """Let old rows of a raw table stop counting; gives the runs that went. Their files are not loaded again:
+    the ledger of loaded files takes note of them first."""
+    loaded_files(store, name)
+    return store.expire(name, days, as_of, column)
+
+
 def copy_into(
     store: Store,
     name: str,

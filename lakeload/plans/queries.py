@@ -250,6 +250,24 @@ def retention(spark, sf_dir):
     return retain(table(spark, sf_dir, "events"), 7, column="ts")
 
 
+@query("""
+    with newest as (select max(o_orderdate) as day from orders)
+    select o_orderkey, o_orderdate, o_totalprice from orders, newest where o_orderdate >= day - interval 800 days
+""")
+def retention_stored(spark, sf_dir):
+    """Orders stored by year; first those of all years but the last expire, then the last year comes."""
+    store = new_store(spark, "retention")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    year, last = F.year("o_orderdate"), orders.agg(F.max(F.year("o_orderdate"))).first()[0]
+    years = [f"run-{y}" for y in range(last - 10, last)]
+    earlier = orders.where(year < last).withColumn("_load", F.concat(F.lit("run-"), year.cast("string")))
+    store.append_derived("orders", earlier, years)
+    store.expire("orders", 800, column="o_orderdate")
+    store.append("orders", orders.where(year == last), str(last))
+    store.expire("orders", 800, column="o_orderdate")
+    return store.read("orders")
+
+
 @query("""
     select c_custkey, sha256(concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment)) as row_hash,
            sha256(c_name) as name_hash

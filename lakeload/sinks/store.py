@@ -12,10 +12,13 @@ not all do, which makes a replacement visible at once or not at all. One job at
 
 Rules kept with a table (``constrain``) hold for every write. Its rows go to a hidden folder first, are checked there
 once, and are moved into the table if all rules hold; else they stay aside and no reader, batch or stream, sees them.
+
+Old rows stop counting by a bound (``expire``) that stands in the same record as the runs that count.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from urllib.parse import unquote
@@ -28,6 +31,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lakeload.operators.quality import check_constraints, split_constraints
 from lakeload.sinks.layout import cluster
 from lakeload.sinks.notes import Notes
+from lakeload.sinks.spans import bound_before, from_bound, spans
 from lakeload.sinks.types import wider
 from lakeload.streaming.run import query_id, run_available
 
@@ -93,7 +97,9 @@ class Store:
         return Notes(self.spark, self.path(name))
 
     def _record(self, name: str) -> dict | None:
-        """What the newest record says: ``schema``, and ``runs`` that count (None for all)."""
+        """What the newest record says: ``schema``, ``runs`` that count (None for all), and what ``expire`` adds:
+        ``since``, the bound that rows must reach, and ``gone``, the runs whose files its next call deletes.
+        """
         return self.notes(name).read("schema")
 
     def _keep(self, name: str, schema: StructType, runs: list[str] | None, before: list[str] | None = None) -> None:
@@ -212,21 +218,23 @@ class Store:
         old = StructType.fromJson(record["schema"]) if record else self.schema(name)
         schema = merged_schema(old or StructType(), new)
         if record is None or schema.jsonValue() != old.jsonValue():
-            kept = record or {"runs": None, "before": None}
-            self._keep(name, schema, kept["runs"], kept["before"])
-            record = {**kept, "schema": schema.jsonValue()}
+            record = {**(record or {"runs": None, "before": None}), "schema": schema.jsonValue()}
+            self.notes(name).write("schema", record)
         return record
 
     def _count(self, name: str, record: dict, runs: list[str]) -> None:
-        """Let runs count that are written now, if the record says which ones do."""
+        """Let runs count that are written now, if the record says which ones do; what was known of them is not."""
+        if (known := self.notes(name).read("spans")) and not known["runs"].keys().isdisjoint(runs):
+            others = {r: ends for r, ends in known["runs"].items() if r not in runs}
+            self.notes(name).write("spans", {**known, "runs": others})
         if record["runs"] is not None and not set(runs) <= set(record["runs"]):
             every = list(dict.fromkeys([*record["runs"], *runs]))
-            self._keep(name, StructType.fromJson(record["schema"]), every, record["before"])
+            self.notes(name).write("schema", {**record, "runs": every})
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Write a derived table anew. Readers see the old rows until all new ones are there.
 
-        The rows replaced are kept until the next replacement, for readers at work.
+        The rows replaced are kept until the next replacement, for readers at work. A bound on their age is lifted.
         """
         record, run = self._record(name), run_name(None)
         kept, rules = record or {"runs": None, "before": None}, self.rules(name)
@@ -237,14 +245,61 @@ class Store:
             self._enforce(name, rules, df.schema, [run])
             # The new run must not count before the record says so.
             if kept["runs"] is None and (old := self.schema(name)):
-                kept = {**kept, "runs": self.runs(name)}
-                self._keep(name, old, kept["runs"], kept["before"])
+                kept = {**kept, "runs": self.runs(name), "schema": old.jsonValue()}
+                self.notes(name).write("schema", kept)
             self.notes(name).move_runs(RUN, folder, [run])
         self._keep(name, df.schema, [run], kept["runs"])
+        self._delete(name, kept.get("gone"), [run, *(kept["runs"] or [])])
         for old in kept["before"] or []:
             empty = self.spark.createDataFrame([], df.schema)
             empty.write.format(self.fmt).mode("overwrite").save(f"{self.path(name)}/{RUN}={old}")
 
+    def expire(
+        self, name: str, days: int, as_of: dt.datetime | str | None = None, column: str = "_slice_date"
+    ) -> list[str]:
+        """Let rows older than ``days`` before ``as_of``, by default the newest value of the column, stop counting.
+
+        Gives the runs that hold no other rows. These are left out by name from now on and no scan opens them; in
+        the runs that the bound cuts it is a condition of every read, pushed to the scan. As with ``retain``, rows
+        without a value do not count. Each run's least and greatest value are found once, from that column alone,
+        and noted, so a call opens only files of runs written since the last one. Files of runs that stopped
+        counting are deleted by the next call; until then readers at work have theirs. The bound never moves back,
+        holds for rows that come later too, and is lifted by ``replace``. Streams read what is appended, however old.
+        """
+        record, notes, runs = self._record(name), self.notes(name), self.runs(name)
+        if record is None:
+            raise ValueError(f"{name} is not a table of runs")
+        kind = StructType.fromJson(record["schema"])[column].dataType
+        since = record.get("since") or {"column": column, "value": None}
+        if since["column"] != column:
+            raise ValueError(f"rows of {name} expire by {since['column']}, not by {column}")
+        sort = {"column": column, "type": kind.simpleString()}
+        known = notes.read("spans")
+        known = known["runs"] if known and sort.items() <= known.items() else {}
+        known = {r: known[r] for r in runs if r in known}
+        if new := sorted(set(runs) - set(known)):
+            rows = self.read_with_runs(name, bounded=False).where(F.col(RUN).isin(new))
+            found = spans(rows.select(column, RUN), column, RUN)
+            known |= {r: found.get(r, [None, None]) for r in new}
+            notes.write("spans", {**sort, "runs": known})
+        newest = max((greatest for _, greatest in known.values() if greatest is not None), default=None)
+        bound = bound_before(self.spark, newest, as_of, days, kind)
+        if bound is None:
+            return []
+        if since["value"] is not None and since["type"] == sort["type"]:
+            bound = max(bound, since["value"])
+        gone = [r for r in runs if known[r][1] is None or known[r][1] < bound]
+        stay = [r for r in runs if r not in set(gone)]
+        notes.write("schema", {**record, "runs": stay, "since": {**sort, "value": bound}, "gone": gone})
+        self._delete(name, record.get("gone"), runs)
+        return gone
+
+    def _delete(self, name: str, gone: list[str] | None, but: list[str]) -> None:
+        """Delete the files of runs that stopped counting, but not of those that were written again."""
+        if gone := set(gone or []) - set(but):
+            notes = self.notes(name)
+            notes.drop_runs(RUN, set(notes.runs(RUN)) - gone)
+
     def read_before(self, name: str) -> DataFrame:
         """The table as it was before its last replacement."""
         record = self._record(name)
@@ -272,8 +327,11 @@ class Store:
         """The whole table with the columns of all its runs, or those of ``schema``."""
         return self.read_with_runs(name, schema).drop(RUN)
 
-    def read_with_runs(self, name: str, schema: StructType | None = None) -> DataFrame:
-        """The whole table with its run in ``_load``; conditions on it choose directories."""
+    def read_with_runs(self, name: str, schema: StructType | None = None, bounded: bool = True) -> DataFrame:
+        """The whole table with its run in ``_load``; conditions on it choose directories.
+
+        ``bounded=False`` gives expired rows of runs that count as well.
+        """
         record, reader = self._record(name), self.spark.read.format(self.fmt)
         if schema is None and record:
             schema = StructType.fromJson(record["schema"])
@@ -282,7 +340,11 @@ class Store:
         else:
             reader = reader.option("mergeSchema", "true")
         rows = reader.load(self.path(name))
-        return rows if not record or record["runs"] is None else rows.where(F.col(RUN).isin(record["runs"]))
+        if not record or record["runs"] is None:
+            return rows
+        rows = rows.where(F.col(RUN).isin(record["runs"]))
+        since = record.get("since") if bounded else None
+        return from_bound(rows, since["column"], since["value"], since["type"]) if since else rows
 
     def read_run(self, name: str, run: str | list[str]) -> DataFrame:
         """The rows of one run, or of some; files of other runs are not opened."""
