@@ -1,6 +1,8 @@
 import hashlib
 import random
+import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -8,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakeload.llm.bpe import Bpe, Encoder, at_most, fold, folded, load_ranks
+from lakeload.llm.bpe import Bpe, Encoder, at_most, byte_pairs, fold, folded, load_ranks, uneven
 from lakeload.llm.queries import QUERIES, VOCABULARY
 from llm.helpers import awkward, empty
 
@@ -25,6 +27,30 @@ def test_as_tiktoken(text):
     assert ENCODER.decode(ids) == text.encode()
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from(" \n\t\0\x1c\u00a0\u2003\u3000'stré1.,日")))
+def test_known_words_and_stretches_as_tiktoken(text):
+    known = {w: np.array(fold(w.encode(), RANKS), np.uint16).tobytes() for w in ENCODER.find(text)}
+    for encoder in (Encoder(RANKS, public_tokenizers.PATTERN, known), ENCODER):
+        for again in (text, " " + text, text.replace("\n", " ")):
+            assert encoder.encode(again).tolist() == TIKTOKEN.encode_ordinary(again)
+    assert uneven(text) == bool(re.search(r" \s|\s ", text))
+
+
+def test_pairs_of_bytes_change_no_fold():
+    pairs, rng = byte_pairs(RANKS), random.Random(5)
+    for size in range(60):
+        word = bytes(rng.choice(b" abehnrst\xc3\xa9\xe6") for _ in range(size))
+        assert fold(word, RANKS, pairs) == fold(word, RANKS) == (TIKTOKEN._encode_single_piece(word) if word else [])
+
+
+def test_a_word_is_remembered_once():
+    """What a worker keeps beside the frequent words stays small: a single word is a stretch and nothing else."""
+    encoder = Encoder(RANKS, public_tokenizers.PATTERN, {" the": np.array(fold(b" the", RANKS), np.uint16).tobytes()})
+    encoder.encode("x the, thablesh the. thoreed thablesh,")
+    assert set(encoder.stretches) == {" thablesh", " thoreed"} and set(encoder.words) == {"x"}
+
+
 def test_long_words():
     rng = random.Random(2)
     for text in ["a" * 3000, " " * 2000 + "x", "ab" * 2000, "".join(rng.choice("abcdefgh") for _ in range(3000)), "日" * 500]:
