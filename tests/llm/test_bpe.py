@@ -4,13 +4,14 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakeload.llm.bpe import Bpe, Encoder, at_most, byte_pairs, fold, folded, load_ranks, uneven
+from lakeload.llm.bpe import Bpe, Encoder, Frequent, at_most, byte_pairs, fold, folded, load_ranks, uneven
 from lakeload.llm.queries import QUERIES, VOCABULARY
 from llm.helpers import awkward, empty
 
@@ -51,6 +52,19 @@ def test_a_word_is_remembered_once():
     assert set(encoder.stretches) == {" thablesh", " thoreed"} and set(encoder.words) == {"x"}
 
 
+def test_the_driver_holds_buffers_of_frequent_words(spark):
+    words = [" the", "\n", "é\0", " thoreed"]
+    ids = [fold(w.encode(), RANKS) for w in words]
+    for kind in (np.uint16, np.uint32):
+        table = pa.table({"word": pa.array(words), "ids": pa.array(ids, pa.list_(pa.int32()))})
+        found = Frequent.of(pa.concat_tables([table.slice(0, 1), table.slice(1)]), kind).by_word()
+        assert {w: np.frombuffer(b, kind).tolist() for w, b in found.items()} == dict(zip(words, ids))
+        assert Frequent.of(table.slice(0, 0), kind).by_word() == {}
+    docs = spark.createDataFrame([(1, "the the thoreed")], "doc_id long, text string")
+    held = Bpe(spark, VOCABULARY, public_tokenizers.PATTERN).prepare(docs).shared.value[1]
+    assert isinstance(held, Frequent) and set(held.by_word()) == {"the", " the", " thoreed"}
+
+
 def test_long_words():
     rng = random.Random(2)
     for text in ["a" * 3000, " " * 2000 + "x", "ab" * 2000, "".join(rng.choice("abcdefgh") for _ in range(3000)), "日" * 500]:
