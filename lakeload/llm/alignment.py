@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.llm import hashing
-from lakeload.llm.common import ROWS, short_batches, stored
+from lakeload.llm.common import ROWS, short_batches, stored, uncollected
 from lakeload.llm.segments import STOP, Generations, parts, portions, segments
 
 #: Segments and parts remembered in each of two generations, characters in one, segments counted before they are
@@ -89,6 +89,9 @@ class Aligner:
         self.length_a = np.array([len(p) for p in self.bytes_a], np.int64)
         self.length_b = np.array([len(p) for p in self.bytes_b], np.int64)
         self.width, self.written = len(self.bytes_b), written
+        # The id of each token with what may follow it: the next of its side, or the end of the side.
+        ids_a, ids_b = ([str(i) for i in range(len(x))] if written else [] for x in (self.bytes_a, self.bytes_b))
+        self.names = [i + c for ids, ends in ((ids_a, ",|"), (ids_b, ",;")) for c in ends for i in ids]
         if len(self.bytes_a) * self.width >= 1 << 31:
             raise ValueError("the two vocabularies have too many pairs for keys of 31 bits")
 
@@ -109,7 +112,7 @@ class Aligner:
         b = [x if s else x[2:] for x, s in zip(b, spaced)]
         whole = [p.encode() for p in found]
         good = self._same(a, self.bytes_a, whole) and self._same(b, self.bytes_b, whole)
-        if good is not True:
+        if not good:
             good = [self._same([x], self.bytes_a, [w]) and self._same([y], self.bytes_b, [w]) for x, y, w in zip(a, b, whole)]
             a, b = ([x for x, g in zip(ids, good) if g] for ids in (a, b))
             made = iter(self._aligned(a, b) if a else [])
@@ -119,8 +122,11 @@ class Aligner:
     @staticmethod
     def _same(ids: list[list[int]], pieces: list[bytes], whole: list[bytes]) -> bool:
         """Whether the tokens of each part have its bytes."""
-        joined = [b"".join([pieces[i] for i in x]) for x in ids]
-        return joined == whole
+        flat = [pieces[i] for i in chain.from_iterable(ids)]
+        if b"".join(flat) != b"".join(whole):
+            return False
+        ends = np.cumsum([0, *map(len, flat)])[np.cumsum([len(x) for x in ids])]
+        return bool((ends == np.cumsum([len(w) for w in whole])).all())
 
     def _aligned(self, a: list[list[int]], b: list[list[int]]) -> list[Aligned]:
         """All segments beside each other: every offset where a token ends closes a link, a shared one a group."""
@@ -137,21 +143,25 @@ class Aligner:
         closed = np.cumsum(shared)
         groups = np.diff(np.r_[0, closed[last - 1]])
         texts = self._texts(ids_a, ids_b, at_a[shared] + 1, at_b[shared] + 1, groups) if self.written else [""] * len(a)
-        data, first, last = links.astype("<u4").tobytes(), 4 * first, 4 * last
-        return [
-            Aligned(x, y, g, data[s:e], t)
-            for x, y, g, s, e, t in zip(count_a.tolist(), count_b.tolist(), groups.tolist(), first.tolist(), last.tolist(), texts)
-        ]
-
-    @staticmethod
-    def _texts(a: np.ndarray, b: np.ndarray, until_a: np.ndarray, until_b: np.ndarray, groups: np.ndarray) -> list[str]:
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        out, i, j = [], 0, 0
-        for m, n in zip(until_a.tolist(), until_b.tolist()):
-            out.append(f"{','.join(names_a[i:m])}|{','.join(names_b[j:n])}")
-            i, j = m, n
-        ends = np.cumsum(groups).tolist()
-        return [";".join(out[s:e]) for s, e in zip([0, *ends], ends)]
+        data, new = links.astype("<u4").tobytes(), tuple.__new__
+        of_each = [data[s:e] for s, e in zip((4 * first).tolist(), (4 * last).tolist())]
+        return [new(Aligned, x) for x in zip(count_a.tolist(), count_b.tolist(), groups.tolist(), of_each, texts)]
+
+    def _texts(self, a: np.ndarray, b: np.ndarray, until_a: np.ndarray, until_b: np.ndarray, groups: np.ndarray) -> list[str]:
+        """Groups of each part as text: the names of A's tokens, then of B's, each with the sign that follows it."""
+        n_a, n_b, width = len(a), len(b), len(self.bytes_a)
+        last_a, last_b = np.zeros(n_a, bool), np.zeros(n_b, bool)
+        last_a[until_a - 1], last_b[until_b - 1] = True, True
+        # Before a token of A stand A's before it and B's of earlier groups; before one of B, A's of its group too.
+        of_a, of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        at_a = np.arange(n_a) + np.r_[0, until_b][of_a]
+        at_b = np.arange(n_b) + until_a[of_b]
+        code = np.empty(n_a + n_b, np.int64)
+        code[at_a] = a + width * last_a
+        code[at_b] = 2 * width + b + self.width * last_b
+        names = list(map(self.names.__getitem__, code.tolist()))
+        ends = np.r_[0, until_a + until_b][np.cumsum(groups)].tolist()
+        return ["".join(names[s:e])[:-1] for s, e in zip([0, *ends], ends)]
 
 
 class _BySegment:
@@ -194,7 +204,7 @@ class Alignment:
         shared = self.shared
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, counted, held = _links(shared), Counter(), {}
+            known, counted, held, lost = _links(shared), Counter(), {}, set()
 
             def out() -> pa.RecordBatch:
                 links = [held[s] for s in counted]
@@ -202,6 +212,7 @@ class Alignment:
                 keys, at = np.unique(np.frombuffer(b"".join(links), "<u4"), return_inverse=True)
                 counted.clear()
                 held.clear()
+                lost.clear()
                 n = np.bincount(at, weights=times).astype(np.int64)
                 portion = np.full(len(keys), int.from_bytes(os.urandom(3), "big"), np.int64)
                 return pa.RecordBatch.from_arrays(
@@ -210,13 +221,15 @@ class Alignment:
 
             for batch in batches:
                 for texts in portions([t for t in batch.column("text").to_pylist() if t]):
-                    every = [segments(t) for t in texts]
-                    found = known.all(set().union(*every))
-                    if not all(found.values()):
-                        every = [e for e in every if all(found[s] for s in e)]
-                    for e in every:
-                        counted.update(e)
-                    held |= {s: x for s, x in found.items() if x and s in counted}
+                    with uncollected():
+                        every = [segments(t) for t in texts]
+                        each = set().union(*every)
+                        found, new = known.all(each), each.difference(held)
+                        held.update(zip(new, map(found.__getitem__, new)))
+                        lost.update(s for s in new if not held[s])
+                        if not lost.isdisjoint(each):
+                            every = [e for e in every if lost.isdisjoint(e)]
+                        counted.update(chain.from_iterable(every))
                     if len(counted) > COUNTED:
                         yield out()
             if counted:
@@ -236,9 +249,10 @@ class Alignment:
                 for s in range(0, len(texts), ROWS):
                     rows = []
                     for some in portions([t or "" for t in texts[s : s + ROWS]]):
-                        every = [segments(t) if t else [] for t in some]
-                        found = scored.all(set().union(*every))
-                        rows += [_row([found[p] for p in e], groups) for e in every]
+                        with uncollected():
+                            every = [segments(t) if t else [] for t in some]
+                            found = scored.all(set().union(*every))
+                            rows += [_row(list(map(found.__getitem__, e)), groups) for e in every]
                     arrays = [pa.array(c, k) for c, k in zip(zip(*rows), _KINDS if groups else _KINDS[:7] + _KINDS[8:])]
                     yield pa.RecordBatch.from_arrays([ids.slice(s, ROWS), *arrays], names=names)
 
@@ -319,7 +333,7 @@ def _row(found: list, groups: bool) -> tuple:
         return (0,) * 6 + (("", "", []) if groups else ("", []))
     numbers, texts, rests = zip(*found)
     text = ";".join(texts)
-    told = [{"pair": p, "n": n} for p, n in Counter(p for r in rests if r for p in r).items()]
+    told = [{"pair": p, "n": n} for p, n in Counter(p for r in rests if r for p in r).items()] if any(rests) else []
     digest = hashlib.sha256(text.encode()).hexdigest()
     return (*_sums(numbers).tolist(), *((digest, text, told) if groups else (digest, told)))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
-_UNEVEN = re.compile(r" \s|\s ")
+from lakeload.llm.bpe import uneven
+
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
 #: Latin letters with a full stop or comma behind: two tokens' worth for any vocabulary that has no entry with both.
 STOP = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[.,])")
@@ -14,11 +15,7 @@ _INSIDE = re.compile(rf"(?<=\S)(?=\n\S)|{STOP.pattern}")
 
 def _even(text: str) -> bool:
     """Whether all spaces are single, and neither other white space nor an end of the text is beside one."""
-    if "  " in text or text[:1] == " " or text[-1:] == " ":
-        return False
-    if not text.isascii():
-        return not _UNEVEN.search(text)
-    return not any(c in text and (" " + c in text or c + " " in text) for c in "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+    return not (text[:1] == " " or text[-1:] == " " or uneven(text))
 
 
 def segments(text: str) -> list[str]:
@@ -28,7 +25,12 @@ def segments(text: str) -> list[str]:
 
 def parts(segment: str) -> list[str]:
     """A segment cut before single line ends and before a stop or comma that follows a letter."""
-    return [segment] if segment.isalnum() else _INSIDE.split(segment)
+    if segment.isalnum():
+        return [segment]
+    word = segment[:-1]
+    if segment[-1:] in (".", ",") and word.isascii() and word[word[:1] == " " :].isalpha():
+        return [word, segment[-1]]
+    return _INSIDE.split(segment)
 
 
 def portions(texts: list[str], characters: int = 1 << 21) -> Iterator[list[str]]:
@@ -54,20 +56,19 @@ class Generations:
         self.make, self.most, self.longest = make, most, longest
         self.young: dict = {}
         self.older: dict = {}
+        self.passing: list = []
 
     def all(self, keys: Iterable[str]) -> dict:
-        """A dict that has at least these distinct keys."""
-        found, missing = {}, []
-        for key in keys:
-            if key in self.young:
-                found[key] = self.young[key]
-            elif key in self.older:
-                found[key] = self.young[key] = self.older[key]
-            else:
-                missing.append(key)
-        made = dict(zip(missing, self.make(missing))) if missing else {}
-        found |= made
-        self.young |= {k: v for k, v in made.items() if len(k) <= self.longest}
+        """A dict that has at least these distinct keys, until the next call."""
+        for key in self.passing:
+            self.young.pop(key, None)
         if len(self.young) >= self.most:
             self.older, self.young = self.young, {}
-        return found
+        new, young, older = set(keys).difference(self.young), self.young, self.older
+        again = new.intersection(older)
+        young.update(zip(again, map(older.__getitem__, again)))
+        missing = list(new - again)
+        if missing:
+            young.update(zip(missing, self.make(missing)))
+        self.passing = [key for key in missing if len(key) > self.longest]
+        return young

@@ -1,3 +1,4 @@
+import gc
 import hashlib
 from collections import Counter
 
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 from lakeload.llm import alignment, hashing
 from lakeload.llm.alignment import Aligner, Alignment, PairCounts, byte_level_pieces
+from lakeload.llm.common import uncollected
 from lakeload.llm.queries import QUERIES
 from lakeload.llm.segments import Generations, parts, portions, segments
 from llm.helpers import awkward, empty
@@ -178,3 +180,17 @@ def test_generations_forget_and_make_again():
 def test_portions_hold_every_text():
     texts = ["a" * 10, "b" * 25, "", "c"]
     assert list(portions(texts, 20)) == [["a" * 10], ["b" * 25], ["", "c"]]
+
+
+def test_what_is_known_is_not_copied_and_long_keys_go():
+    known = Generations(lambda keys: [k.upper() for k in keys], 100, 4)
+    first = known.all(["ab", "too long"])
+    assert first is known.young and first["too long"] == "TOO LONG"
+    assert known.all(["ab", "cd"]) is first and set(first) == {"ab", "cd"}
+
+
+def test_the_search_for_cycles_rests_and_goes_on():
+    with pytest.raises(ValueError), uncollected():
+        assert not gc.isenabled()
+        raise ValueError
+    assert gc.isenabled()
