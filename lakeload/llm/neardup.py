@@ -327,6 +327,8 @@ def _outsiders(stars: DataFrame, sets: DataFrame, roots: DataFrame, near: Near)
         .withColumn("root", F.coalesce("root", "node"))
         .withColumn("outsider", F.col("root") != F.coalesce("centre_root", "centre"))
     )
+    # Read twice below; stored, so that neither plan grows large.
+    rooted = stored(rooted.select("centre", "node", "n", "root", "outsider"), "rooted")
     blocks = (
         rooted.groupBy("centre")
         .agg(
@@ -336,14 +338,16 @@ def _outsiders(stars: DataFrame, sets: DataFrame, roots: DataFrame, near: Near)
         )
         .filter("xs > 0 and all > 1")
     )
-    met = rooted.join(blocks, "centre")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    columns = ("centre", "x", "y", "node", "root", "outsider")
-    outside = met.filter("outsider").withColumn("x", own("xs")).withColumn("y", every("ys")).select(*columns)
-    inside = met.withColumn("outsider", F.lit(False)).withColumn("x", every("xs")).withColumn("y", own("ys"))
+    group = lambda x, y, outsider: F.struct(x.alias("x"), y.alias("y"), F.lit(outsider).alias("outsider"))
+    every = lambda n, of: F.transform(F.sequence(F.lit(0), F.col(n) - 1), of)
+    outside = F.when(F.col("outsider"), every("ys", lambda y: group(own("xs"), y, True)))
+    inside = every("xs", lambda x: group(x, own("ys"), False))
+    met = rooted.join(blocks, "centre").select(
+        "centre", "node", "root", F.inline(F.concat(F.coalesce(outside, F.array()), inside))
+    )
     return (
-        outside.unionByName(inside.select(*columns))
+        met.select("centre", "x", "y", "node", "root", "outsider")
         .join(sets, "node")
         .repartition("centre", "x", "y")
         .sortWithinPartitions("centre", "x", "y", "node")

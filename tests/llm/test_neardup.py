@@ -3,6 +3,9 @@ import random
 import numpy as np
 import pytest
 
+from lakeload.llm import components as connected
+from lakeload.llm import neardup
+from lakeload.llm.common import stored
 from lakeload.llm.components import components
 from lakeload.llm.neardup import Hasher, Near, Sketcher, near_duplicates, without_copies
 from lakeload.llm.queries import QUERIES
@@ -94,3 +97,23 @@ def test_awkward_rows(spark):
     assert texts.count("same row twice in here") == 1 and texts.count("no id here at all") == 1
     assert sum(not (t or "").strip() for t in texts) == 4
     assert near_duplicates(empty(spark)).count() == 0 and without_copies(empty(spark)).count() == 0
+
+
+def test_plans_stay_small(spark, monkeypatch):
+    """The driver keeps each plan, and sends it on with each of its stages: none reads a stored table many times over."""
+    scans = {}
+
+    def noted(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans[name] = max(scans.get(name, 0), plan.count("FileScan"))
+        return stored(df, name)
+
+    monkeypatch.setattr(connected, "stored", noted)
+    monkeypatch.setattr(neardup, "stored", noted)
+    rng = random.Random(2)
+    base = prose(1, 200, 10**6).split()
+    texts = [" ".join(varied(rng, base, rng.choice([6, 12, 18]))) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(df, Near(words=2)).collect()}
+    assert got == plain(dict(enumerate(texts)), 2)
+    assert scans["edges"] <= 4 and scans["more-links"] <= 4
